@@ -13,3 +13,20 @@ def ntz(text: str) -> Column:
 
 def iso(c: str | Column, pattern: str = "yyyy-MM-dd") -> Column:
     return F.date_format(c, pattern)
+
+
+def half_up(c: Column, digits: int) -> Column:
+    """Rounding on the binary value, so that every IEEE engine gives the same digits."""
+    scale = float(10**digits)
+    return F.floor(c * scale + 0.5) / scale
+
+
+def exact_sum(c: str | Column, digits: int = 2) -> Column:
+    """Sum of amounts with a fixed number of decimals, free of floating-point order effects."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double")
+
+
+def exact_mean(c: str | Column, digits: int = 2) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.try_divide(exact_sum(c, digits), F.count(c))

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.plans import durable
+
 _B = "__bucket"
 
 
@@ -150,3 +152,36 @@ def exact_quantiles(
         for n in probs
     ]
     return picked.select(*keys, *out)
+
+
+def by_range(df: DataFrame, cols: Sequence[str], parts: int | None = None, name: str = "range_no") -> DataFrame:
+    """Adds an even, order-preserving bucket number for any ordering, however repeated its values.
+
+    The rows are range-partitioned on ``cols`` and written once, so every later use sees the same
+    borders. Prefer a computed bucket where the order column spreads by itself.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = df.repartitionByRange(parts, *cols).withColumn(name, F.spark_partition_id())
+    return durable.cut(numbered, "range")
+
+
+def ranks(df: DataFrame, keys: Sequence[str], value: str, row_id: str, tiles: int = 4) -> DataFrame:
+    """row_number, rank, dense_rank and ntile by descending ``value`` for groups of any size."""
+    base = by_range(df.withColumn("__neg", -F.col(value)), [*keys, "__neg", row_id])
+    bucket = F.col("range_no")
+    seen = neighbor(base, keys, ["__neg", row_id], bucket, {"__prev": F.col("__neg")})
+    first = F.when(F.col("__prev").isNull() | (F.col("__prev") != F.col("__neg")), 1).otherwise(0)
+    sums = {"row_number": F.lit(1).cast("bigint"), "dense_rank": first.cast("bigint")}
+    numbered = running(seen, keys, ["__neg", row_id], bucket, sums, totals=True)
+    opening = F.when(first == 1, F.col("row_number"))
+    full = carry_forward(numbered, keys, ["__neg", row_id], bucket, opening, "rank")
+    n, r = F.col("row_number_total"), F.col("row_number")
+    size, extra = F.floor(n / tiles), n % tiles
+    big = extra * (size + 1)
+    tile = F.when(r <= big, F.floor((r - 1) / (size + 1))).otherwise(
+        extra + F.floor((r - 1 - big) / F.greatest(size, F.lit(1)))
+    )
+    return full.withColumn("ntile", (tile + 1).cast("bigint")).select(
+        *df.columns, "row_number", "rank", "dense_rank", "ntile"
+    )
