@@ -191,10 +191,11 @@ def ranking(t):
     d = digest100(F.concat_ws(":", F.col("cust").cast("string"), "brand"))
     m = matrix(t).withColumn("d", d)
     popular = m.filter("d < 80").groupBy("brand").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "brand").limit(10)
-    listed = popular.agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "brand"))).alias("top"))
+    top = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "brand")))
+    listed = popular.agg(F.transform(top, lambda x: x["brand"]).alias("top"))
     rel = m.filter("d >= 80").select("cust", "brand")
-    names = F.transform(listed.scalar(), lambda x: x["brand"])
-    recs = rel.select("cust").distinct().select("cust", F.posexplode(names).alias("pos", "brand"))
+    everyone = rel.select("cust").distinct().withColumn("top", listed.scalar())
+    recs = everyone.select("cust", F.posexplode("top").alias("pos", "brand"))
     out = L.holdout_metrics(recs.select("cust", "brand", (F.col("pos") + 1).alias("rank")), rel, "cust", "brand", "rank", 10)
     return out.select(*[F.round(c, 6).alias(c) for c in ("precision", "recall", "ndcg")], "users")
 
