@@ -22,9 +22,11 @@ def exact_copies(df: DataFrame, key: str, text: str) -> DataFrame:
     return hashed.join(first, "__h").select(key, "keep_id")
 
 
-def shingles(text: Column, k: int = 3) -> Column:
-    """Distinct hashes of the k-word runs; shorter texts are one shingle."""
-    words = tokens(text)
+def shingles(words: Column, k: int = 3) -> Column:
+    """Distinct hashes of the k-word runs; shorter texts are one shingle.
+
+    ``words`` must be a plain column: an expression would be evaluated again for every run.
+    """
     n = F.greatest(F.size(words) - k + 1, F.lit(1))
     runs = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(words, i, k), " ")))
     return F.array_distinct(runs)
@@ -71,7 +73,8 @@ def near_duplicate_links(df: DataFrame, key: str, text: str, threshold: float =
     Candidates share a MinHash band; exact copies are folded into one text first. Every link is
     checked with the exact Jaccard value of the whole texts.
     """
-    base = df.select(F.col(key).alias("id"), content_key(F.col(text)).alias("__h"), shingles(F.col(text)).alias("set"))
+    worded = df.select(F.col(key).alias("id"), content_key(F.col(text)).alias("__h"), tokens(F.col(text)).alias("__words"))
+    base = worded.select("id", "__h", shingles(F.col("__words")).alias("set"))
     unique = skew.latest_per_key(base, ["__h"], [F.asc("id")]).select("id", "set")
     sets = durable.cut(unique, "sets")
     each = sets.select("id", F.explode("set").alias("s"))
