@@ -17,7 +17,10 @@ FEED_SQL = """
 feed AS (SELECT o_custkey AS cust, o_orderkey AS seq, o_orderpriority AS city, o_orderstatus AS status, o_totalprice AS amount,
  CASE WHEN o_orderkey % 17 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS op FROM orders)
 """
-BUCKET = F.floor(F.col("seq") / 100000)
+
+
+def bucket():
+    return F.floor(F.col("seq") / 100000)
 
 
 def feed(t):
@@ -87,7 +90,7 @@ HIST_SQL = f"""
 
 @query("cdc_05_scd_type_2", f"WITH {HIST_SQL} SELECT cust, city, status, start_at, end_at FROM hist")
 def type2(t):
-    return H.scd2(feed(t), ["cust"], ["seq"], BUCKET).select("cust", "city", "status", "start_at", "end_at")
+    return H.scd2(feed(t), ["cust"], ["seq"], bucket()).select("cust", "city", "status", "start_at", "end_at")
 
 
 TRACKED_SQL = f"""
@@ -101,7 +104,7 @@ TRACKED_SQL = f"""
 
 @query("cdc_06_tracked_columns", f"WITH {TRACKED_SQL} SELECT cust, city, amount, start_at, end_at FROM e WHERE NOT del")
 def tracked(t):
-    out = H.scd2(feed(t), ["cust"], ["seq"], BUCKET, tracked=["city"], op="op")
+    out = H.scd2(feed(t), ["cust"], ["seq"], bucket(), tracked=["city"], op="op")
     return out.select("cust", "city", "amount", "start_at", "end_at")
 
 
@@ -111,7 +114,7 @@ UNION ALL SELECT 'type2', cust, start_at, end_at FROM hist WHERE op <> 'DELETE'
 """)
 def deletes(t):
     one = H.scd1(feed(t), ["cust"], ["seq"], op="op")
-    two = H.scd2(feed(t), ["cust"], ["seq"], BUCKET, op="op")
+    two = H.scd2(feed(t), ["cust"], ["seq"], bucket(), op="op")
     return one.select(F.lit("type1").alias("kind"), "cust", F.col("seq").alias("start_at"), F.lit(None).cast("bigint").alias("end_at")).unionByName(
         two.select(F.lit("type2").alias("kind"), "cust", "start_at", "end_at"))
 
@@ -147,7 +150,7 @@ def envelope(t):
 
 @query("cdc_10_state_as_of", f"WITH {HIST_SQL} SELECT cust, city, start_at FROM hist WHERE op <> 'DELETE' AND start_at <= 9000 AND (end_at > 9000 OR end_at IS NULL)")
 def as_of(t):
-    return H.state_as_of(H.scd2(feed(t), ["cust"], ["seq"], BUCKET, op="op"), F.lit(9000)).select("cust", "city", "start_at")
+    return H.state_as_of(H.scd2(feed(t), ["cust"], ["seq"], bucket(), op="op"), F.lit(9000)).select("cust", "city", "start_at")
 
 
 V_SQL = """
@@ -219,7 +222,7 @@ def from_feed(t):
     kinds = F.when(F.col("op") == "DELETE", F.array(F.lit("delete"))).otherwise(F.array(F.lit("update_preimage"), F.lit("update_postimage")))
     cdf = feed(t).withColumn("_change_type", F.explode(kinds)).drop("op")
     images = cdf.filter("_change_type <> 'update_preimage'")
-    out = H.scd2(images, ["cust"], ["seq"], BUCKET, op="_change_type", delete="delete")
+    out = H.scd2(images, ["cust"], ["seq"], bucket(), op="_change_type", delete="delete")
     return out.select("cust", "city", "start_at", "end_at", F.col("end_at").isNull().alias("is_current"))
 
 

@@ -9,7 +9,9 @@ from lakeloom.operators import joins
 from lakeloom.plans import skew
 from lakeloom.registry import query
 
-REVENUE = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+
+def revenue():
+    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
 
 
 @query("jn_01_inner", """
@@ -245,7 +247,7 @@ GROUP BY ALL
 def star(t):
     return (
         _star(t).groupBy("r_name", "p_type", F.year("o_orderdate").cast("bigint").alias("year"))
-        .agg(F.round(F.sum(REVENUE), 4).alias("revenue"), F.count("*").alias("lines"))
+        .agg(F.round(F.sum(revenue()), 4).alias("revenue"), F.count("*").alias("lines"))
     )
 
 

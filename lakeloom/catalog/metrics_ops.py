@@ -13,14 +13,19 @@ from lakeloom.plans import ordered
 from lakeloom.registry import query
 
 SALES = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
-NET = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+
+
+def net():
+    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
+
+
 NET_SQL = "l_extendedprice * (1 - l_discount)"
 
 
 def sales(t):
     src = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(t.customer, F.col("o_custkey") == F.col("c_custkey")))
-    revenue, orders, users = exact_sum(NET, 4), F.count_distinct("o_orderkey"), F.count_distinct("o_custkey")
+    revenue, orders, users = exact_sum(net(), 4), F.count_distinct("o_orderkey"), F.count_distinct("o_custkey")
     return K.MetricView(
         src,
         {"segment": F.col("c_mktsegment"), "month": F.date_format("o_orderdate", "yyyy-MM"), "year": F.year("o_orderdate").cast("bigint")},
@@ -29,8 +34,8 @@ def sales(t):
             "aov": half_up(revenue / orders, 2), "arpu": half_up(revenue / users, 2),
             "return_pct": half_up(F.count_if(F.col("l_returnflag") == "R") * F.lit(100.0) / F.count("*"), 2),
             "margin_pct": half_up((revenue - exact_sum(F.col("l_extendedprice") * 0.7)) * 100 / revenue, 2),
-            "urgent_revenue": exact_sum(F.when(F.col("o_orderpriority") == "1-URGENT", NET), 4),
-            "urgent_share": half_up(exact_sum(F.when(F.col("o_orderpriority") == "1-URGENT", NET), 4) * 100 / revenue, 2),
+            "urgent_revenue": exact_sum(F.when(F.col("o_orderpriority") == "1-URGENT", net()), 4),
+            "urgent_share": half_up(exact_sum(F.when(F.col("o_orderpriority") == "1-URGENT", net()), 4) * 100 / revenue, 2),
         },
         where=F.col("o_orderstatus") != "P")
 
