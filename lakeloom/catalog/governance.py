@@ -139,7 +139,7 @@ def column_names(t):
 @query("gov_09_pii_scan", "SELECT lang, " + ", ".join(
     f"sum(len(regexp_extract_all(text, '{X.PII[k]}')))::BIGINT AS {k}" for k in X.PII_ORDER) + " FROM documents GROUP BY 1")
 def pii_scan(t):
-    return t.documents.groupBy("lang").agg(*[F.sum(X.count_matches(F.col("text"), X.PII[k])).alias(k) for k in X.PII_ORDER])
+    return t.spread("documents", "doc_id").groupBy("lang").agg(*[F.sum(X.count_matches(F.col("text"), X.PII[k])).alias(k) for k in X.PII_ORDER])
 
 
 _REDACTED = "text"
@@ -149,7 +149,7 @@ for _k in X.PII_ORDER:
 
 @query("gov_09b_pii_redaction", f"SELECT doc_id, md5({_REDACTED}) AS digest FROM documents")
 def pii_redaction(t):
-    return t.documents.select("doc_id", F.md5(X.redact(F.col("text"))).alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", F.md5(X.redact(F.col("text"))).alias("digest"))
 
 
 BLOCKED = ["idiot", "loser", "clown", "moron"]
@@ -161,7 +161,7 @@ SELECT source, count(*) AS n, count(*) FILTER (WHERE blocked) AS blocked, {hu("c
 """)
 def keyword_block(t):
     hit = F.arrays_overlap(X.tokens(F.col("text")), F.array(*[F.lit(w) for w in BLOCKED]))
-    return t.documents.groupBy("source").agg(
+    return t.spread("documents", "doc_id").groupBy("source").agg(
         F.count("*").alias("n"), F.count_if(hit).alias("blocked"), half_up(F.count_if(hit) * F.lit(100.0) / F.count("*"), 2).alias("block_pct"))
 
 

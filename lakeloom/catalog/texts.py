@@ -33,7 +33,7 @@ CLEAN_SQL = "trim(" + _replace_chain("text", [
 @query("txt_01_clean", f"SELECT doc_id, length(c) AS chars, md5(c) AS digest FROM (SELECT doc_id, {CLEAN_SQL} AS c FROM (SELECT doc_id, text || '   x?ref=1' || chr(10) || chr(10) || chr(10) || 'Page 3 of 9' AS text FROM documents))")
 def clean(t):
     noisy = F.concat("text", F.lit("   x?ref=1\n\n\nPage 3 of 9"))
-    return t.documents.select("doc_id", X.clean(noisy).alias("c")).select("doc_id", F.length("c").cast("bigint").alias("chars"), F.md5("c").alias("digest"))
+    return t.spread("documents", "doc_id").select("doc_id", X.clean(noisy).alias("c")).select("doc_id", F.length("c").cast("bigint").alias("chars"), F.md5("c").alias("digest"))
 
 
 @query("txt_02_metadata", f"""
@@ -43,7 +43,7 @@ SELECT doc_id, split_part(text, chr(10), 1) AS title, nullif(regexp_extract(text
 def metadata(t):
     low, x = F.lower("text"), F.col("text")
     category = (F.when(low.contains("license") | low.contains("copyright"), "legal").when(x.contains("@"), "contact").when(x.contains("$"), "finance").otherwise("general"))
-    return t.documents.select(
+    return t.spread("documents", "doc_id").select(
         "doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.nullif(F.regexp_extract("text", X.DATE, 0), F.lit("")).alias("first_date"),
         F.length("text").cast("bigint").alias("chars"), F.size(F.split("text", "\n")).cast("bigint").alias("lines"),
         F.size(X.tokens(x)).cast("bigint").alias("words"), category.alias("category"))
@@ -54,19 +54,19 @@ WITH c AS (SELECT doc_id, text, greatest(0, ceil((length(text) - 1000) / 800))::
 SELECT doc_id, (last + 1)::INT AS total_chunks, i::INT AS chunk_index, md5(substr(text, i * 800 + 1, 1000)) AS digest FROM c, LATERAL (SELECT unnest(range(0, last + 1)) AS i)
 """)
 def fixed(t):
-    out = K.fixed_chunks(t.documents, ["doc_id"], "text")
+    out = K.fixed_chunks(t.spread("documents", "doc_id"), ["doc_id"], "text")
     return out.select("doc_id", "total_chunks", "chunk_index", F.md5("content").alias("digest"))
 
 
 @query("txt_04_recursive_chunks")
 def recursive(t):
     """Per document: chunks, longest chunk and whether the chunks joined are the text again."""
-    chunks = K.recursive_chunks(t.documents, "doc_id", "text")
+    chunks = K.recursive_chunks(t.spread("documents", "doc_id"), "doc_id", "text")
     joined = chunks.groupBy("doc_id").agg(
         F.count("*").alias("chunks"), F.max(F.length("content")).alias("longest"),
         F.sort_array(F.collect_list(F.struct("chunk_index", "content"))).alias("cs"))
     same = F.md5(F.array_join(F.transform("cs", lambda c: c["content"]), "")) == F.md5("text")
-    return joined.join(t.documents, "doc_id").select("doc_id", "chunks", "longest", same.alias("complete"))
+    return joined.join(t.spread("documents", "doc_id"), "doc_id").select("doc_id", "chunks", "longest", same.alias("complete"))
 
 
 def _page_text(t):
@@ -74,7 +74,7 @@ def _page_text(t):
     for lv in (1, 2, 3):
         html = F.regexp_replace(html, f"(?s)<h{lv}[^>]*>(.*?)</h{lv}>", "\n" + "#" * lv + " $1\n")
     html = F.regexp_replace(F.regexp_replace(html, r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->", ""), r"</p>|</li>|<br/?>", "\n")
-    return t.pages.select("page_id", F.regexp_replace(html, "<[^>]+>", "").alias("text"))
+    return t.spread("pages", "page_id").select("page_id", F.regexp_replace(html, "<[^>]+>", "").alias("text"))
 
 
 _PAGE = "html"
@@ -103,7 +103,7 @@ WITH k AS (SELECT doc_id, {TOK} AS tk FROM documents), c AS (SELECT *, greatest(
 SELECT doc_id, (last + 1)::INT AS total_chunks, i::INT AS chunk_index, md5(array_to_string(tk[i * 226 + 1 : i * 226 + 256], ' ')) AS digest FROM c, LATERAL (SELECT unnest(range(0, last + 1)) AS i)
 """)
 def token(t):
-    return K.token_chunks(t.documents, ["doc_id"], "text").select("doc_id", "total_chunks", "chunk_index", F.md5("content").alias("digest"))
+    return K.token_chunks(t.spread("documents", "doc_id"), ["doc_id"], "text").select("doc_id", "total_chunks", "chunk_index", F.md5("content").alias("digest"))
 
 
 HASH_SQL = r"sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g')))"
@@ -111,12 +111,12 @@ HASH_SQL = r"sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g')))"
 
 @query("txt_07_exact_copies", f"SELECT doc_id, min(doc_id) OVER (PARTITION BY {HASH_SQL}) AS keep_id FROM documents")
 def copies(t):
-    return D.exact_copies(t.documents, "doc_id", "text")
+    return D.exact_copies(t.spread("documents", "doc_id"), "doc_id", "text")
 
 
 @query("txt_08_near_duplicate_groups")
 def near(t):
-    return D.near_duplicate_groups(t.documents, "doc_id", "text", 0.85)
+    return D.near_duplicate_groups(t.spread("documents", "doc_id"), "doc_id", "text", 0.85)
 
 
 @query("txt_09_chunk_table", """
@@ -124,7 +124,7 @@ WITH c AS (SELECT doc_id, source, text, greatest(0, ceil((length(text) - 500) /
 SELECT doc_id || '-' || i AS chunk_id, doc_id AS parent_doc_id, i::INT AS chunk_index, (last + 1)::INT AS total_chunks, source, length(substr(text, i * 400 + 1, 500)) AS chars FROM c, LATERAL (SELECT unnest(range(0, last + 1)) AS i)
 """)
 def chunk_table(t):
-    out = K.fixed_chunks(t.documents, ["doc_id", "source"], "text", 500, 100)
+    out = K.fixed_chunks(t.spread("documents", "doc_id"), ["doc_id", "source"], "text", 500, 100)
     return out.select(F.concat_ws("-", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"), F.col("doc_id").alias("parent_doc_id"),
                       "chunk_index", "total_chunks", "source", F.length("content").cast("bigint").alias("chars"))
 
@@ -183,7 +183,7 @@ def _bm25(k: int) -> str:
 
 
 def _keyword(t, k):
-    return R.bm25_top_k(t.documents, TEXT_QUERIES, "doc_id", "text", k).withColumn("query_id", F.col("query_id").cast("bigint"))
+    return R.bm25_top_k(t.spread("documents", "doc_id"), TEXT_QUERIES, "doc_id", "text", k).withColumn("query_id", F.col("query_id").cast("bigint"))
 
 
 @query("txt_13_bm25", f"WITH {_bm25(10)} SELECT query_id, doc_id, round(score, 6) AS score, rank FROM bm")
@@ -246,7 +246,7 @@ def evaluation(t):
 @query("txt_18_classification")
 def classification(t):
     """Quality label from weighted word counts: trained on most labelled texts, measured on the rest."""
-    rows = t.documents.join(t.labels, "doc_id").select("doc_id", X.tokens(F.col("text")).alias("words"), F.col("quality").cast("double").alias("label"))
+    rows = t.spread("documents", "doc_id").join(t.labels, "doc_id").select("doc_id", X.tokens(F.col("text")).alias("words"), F.col("quality").cast("double").alias("label"))
     part = digest100("doc_id") < 80
     model = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 12), IDF(inputCol="tf", outputCol="features"),
@@ -264,7 +264,7 @@ FIELDS = {"dates": X.DATE, "amounts": X.AMOUNT, "emails": X.PII["email"], "phone
 
 @query("txt_19_field_extraction", "SELECT doc_id, " + ", ".join(f"array_to_string(regexp_extract_all(text, '{p}'), ',') AS {n}" for n, p in FIELDS.items()) + " FROM documents")
 def extraction(t):
-    return t.documents.select("doc_id", *[F.array_join(F.regexp_extract_all("text", F.lit(p), F.lit(0)), ",").alias(n) for n, p in FIELDS.items()])
+    return t.spread("documents", "doc_id").select("doc_id", *[F.array_join(F.regexp_extract_all("text", F.lit(p), F.lit(0)), ",").alias(n) for n, p in FIELDS.items()])
 
 
 @query("txt_20_extractive_summary", f"""
@@ -275,7 +275,7 @@ WITH l AS (SELECT doc_id, regexp_split_to_array(text, '[.!?]\\s+') AS ss FROM do
 SELECT doc_id, md5(string_agg(text, '. ' ORDER BY pos)) AS digest FROM s JOIN r USING (doc_id, pos) GROUP BY 1
 """)
 def summary(t):
-    return R.extractive_summary(t.documents, "doc_id", "text", 3).select("doc_id", F.md5("summary").alias("digest"))
+    return R.extractive_summary(t.spread("documents", "doc_id"), "doc_id", "text", 3).select("doc_id", F.md5("summary").alias("digest"))
 
 
 @query("txt_21_context_windows", """
@@ -297,5 +297,5 @@ def fan_out(t):
 WITH m AS (SELECT source, unnest({TOK}) AS word FROM documents) SELECT source, word, count(*) AS mentions FROM m WHERE length(word) > 2 GROUP BY 1, 2 ORDER BY mentions DESC, source, word LIMIT 20
 """)
 def mentions(t):
-    words = t.documents.select("source", F.explode(X.tokens(F.col("text"))).alias("word")).filter(F.length("word") > 2)
+    words = t.spread("documents", "doc_id").select("source", X.each_token(F.col("text")).alias("word")).filter(F.length("word") > 2)
     return words.groupBy("source", "word").agg(F.count("*").alias("mentions")).orderBy(F.desc("mentions"), "source", "word").limit(20)

@@ -20,7 +20,7 @@ PII_ORDER = ("email", "card", "ssn", "ip", "phone")
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 AMOUNT = r"[$€£][0-9]+(?:[.,][0-9]+)*"
 TRACKING = r"[?&](?:utm_[a-z]+|ref|fbclid|gclid)=[^&#\s]*"
-WORD = r"[^a-z0-9à-öø-ÿœß]+"
+WORD = r"[^\p{L}\p{N}]+"
 
 
 def count_matches(text: Column, pattern: str) -> Column:
@@ -65,3 +65,11 @@ def plain(html: Column) -> Column:
     ):
         html = F.regexp_replace(html, pattern, into)
     return F.trim(html)
+
+
+def each_token(text: Column) -> Column:
+    """Generator of the tokens; texts without any give one NULL, to be filtered by the caller.
+
+    The outer form keeps Spark from testing (and so computing) the token list twice.
+    """
+    return F.explode_outer(tokens(text))

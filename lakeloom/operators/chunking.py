@@ -14,9 +14,15 @@ SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
 
 def _numbered(df: DataFrame, keys: Sequence[str], pieces: Column) -> DataFrame:
+    """One row per piece.
+
+    The outer form is used because the plain one also plants a size test below the projections, which
+    would cut every text a second time.
+    """
     with_pieces = df.withColumn("__pieces", pieces)
-    return with_pieces.select(
-        *keys, F.size("__pieces").alias("total_chunks"), F.posexplode("__pieces").alias("chunk_index", "content"))
+    rows = with_pieces.select(
+        *keys, F.size("__pieces").alias("total_chunks"), F.posexplode_outer("__pieces").alias("chunk_index", "content"))
+    return rows.filter(F.col("chunk_index").isNotNull())
 
 
 def fixed_chunks(df: DataFrame, keys: Sequence[str], text: str, size: int = 1000, overlap: int = 200) -> DataFrame:
@@ -29,10 +35,10 @@ def fixed_chunks(df: DataFrame, keys: Sequence[str], text: str, size: int = 1000
 
 def token_chunks(df: DataFrame, keys: Sequence[str], text: str, size: int = 256, overlap: int = 30) -> DataFrame:
     step = size - overlap
-    words = df.withColumn("__t", tokens(F.col(text))).filter(F.size("__t") > 0)
+    words = df.withColumn("__t", tokens(F.col(text)))
     last = F.greatest(F.lit(0), F.ceil((F.size("__t") - size) / F.lit(float(step))).cast("int"))
     pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(F.col("__t"), i * step + 1, size), " "))
-    return _numbered(words, keys, pieces)
+    return _numbered(words, keys, F.when(F.size("__t") > 0, pieces))
 
 
 def split_recursive(text: str, size: int, separators: Sequence[str] = SEPARATORS) -> list[str]:

@@ -28,7 +28,8 @@ def shingles(words: Column, k: int = 3) -> Column:
     ``words`` must be a plain column: an expression would be evaluated again for every run.
     """
     n = F.greatest(F.size(words) - k + 1, F.lit(1))
-    runs = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(words, i, k), " ")))
+    # single elements are read in place, while a slice would copy the whole list for every run
+    runs = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
     return F.array_distinct(runs)
 
 
@@ -37,30 +38,32 @@ def _jaccard(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+LEADERS_PER_ROUND = 8
+
+
 def _leaders(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (leader, member) found by repeatedly comparing each bucket with its lowest open member.
+    """Links (leader, member) found by repeatedly comparing each bucket with its lowest open members.
 
-    One round is linear in the bucket: nobody is compared with anyone but the leader. Members that do
-    not match stay for the next round, until every bucket is used up.
+    One round is linear in the bucket: everyone is compared with a few leaders and with no one else.
+    Members that match none of them stay for the next round, until every bucket is used up.
     """
     found = None
     rest = buckets
     while True:
-        lead = rest.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+        lead = skew.top_per_key(rest, ["bucket"], [F.asc("id")], LEADERS_PER_ROUND, "no").select("bucket", F.col("id").alias("leader"))
         # a bucket may hold a large share of the texts, hence the salt
-        pairs = skew.salted_join(rest, lead.drop("n"), ["bucket"], ["id"]).filter("id > leader")
-        open_pairs = durable.cut(pairs, "pairs")
-        if open_pairs.isEmpty():
+        pairs = durable.cut(skew.salted_join(rest, lead, ["bucket"], ["id"]).filter("id > leader"), "pairs")
+        if pairs.isEmpty():
             return found if found is not None else _no_links(sets)
-        edges = open_pairs.select("leader", "id").distinct()
+        with_member = pairs.select("leader", "id").distinct().join(sets, "id")
         small = sets.select(F.col("id").alias("leader"), F.col("set").alias("lset"))
-        with_member = edges.join(sets, "id")
-        # a leader of many copies is a hot key here, hence the salt
+        # a leader of many copies is a hot key here as well
         scored = skew.salted_join(with_member, small, ["leader"], ["id"]).withColumn("jaccard", _jaccard(F.col("lset"), F.col("set")))
         good = durable.cut(scored.filter(F.col("jaccard") >= threshold).select("leader", "id", "jaccard"), "links")
         found = good if found is None else found.unionByName(good)
-        rest = open_pairs.join(good.select("leader", "id"), ["leader", "id"], "left_anti").select("bucket", "id")
-        rest = durable.cut(rest, "rest")
+        used = pairs.join(good, ["leader", "id"], "left_semi").select("bucket", "id").unionByName(
+            pairs.select("bucket", F.col("leader").alias("id")))
+        rest = durable.cut(pairs.select("bucket", "id").distinct().join(used.distinct(), ["bucket", "id"], "left_anti"), "rest")
 
 
 def _no_links(sets: DataFrame) -> DataFrame:

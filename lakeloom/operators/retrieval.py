@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import tokens
+from lakeloom.functions.text import each_token, tokens
 from lakeloom.plans import ordered, skew
 
 K1, B = 1.2, 0.75
@@ -46,12 +46,13 @@ def bm25_top_k(docs: DataFrame, queries: dict[int, str], key: str, text: str, k:
     """BM25 top-k per query; only the words of the queries leave the scan."""
     import re
 
-    terms = [(q, w) for q, s in queries.items() for w in sorted(set(re.findall(r"[a-zà-öø-ÿœß0-9]+", s.lower())))]
+    terms = [(q, w) for q, s in queries.items() for w in sorted(set(re.findall(r"[^\W_]+", s.lower())))]
     words = sorted({w for _, w in terms})
     base = docs.select(key, tokens(F.col(text)).alias("__t"))
     size = docs.select(F.size(tokens(F.col(text))).alias("n")).agg(F.count("*").alias("docs"), F.avg("n").alias("avgdl"))
     n_docs, avgdl = size.select("docs").scalar(), size.select("avgdl").scalar()
-    hits = base.select(key, F.size("__t").alias("dl"), F.explode(F.filter("__t", lambda w: w.isin(*words))).alias("term"))
+    asked = F.filter("__t", lambda w: w.isin(*words))
+    hits = base.select(key, F.size("__t").alias("dl"), F.explode_outer(asked).alias("term")).filter("term IS NOT NULL")
     tf = hits.groupBy(key, "dl", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))  # one row per query word
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -114,7 +115,7 @@ def context_windows(turns: DataFrame, key: str, order: str, role: str, text: str
 def extractive_summary(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """The ``n`` sentences with the highest mean inverse document frequency, in original order."""
     parts = docs.select(key, F.posexplode(F.split(text, r"[.!?]\s+")).alias("pos", "sentence"))
-    words = parts.select(key, "pos", F.explode(tokens(F.col("sentence"))).alias("w"))
+    words = parts.select(key, "pos", each_token(F.col("sentence")).alias("w")).filter("w IS NOT NULL")
     freq = words.select(key, "w").distinct().groupBy("w").agg(F.count("*").alias("df"))
     total = docs.agg(F.count("*"))
     idf = F.log(total.scalar() / F.col("df"))
