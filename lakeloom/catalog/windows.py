@@ -229,13 +229,14 @@ def dedup(t):
 
 @query("win_17_two_level_dedup", """
 WITH a AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-  ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1)
+  ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) = 1)
 SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate::DATE::VARCHAR AS day FROM a
 QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_shipdate::DATE ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) = 1
 """)
 def two_level(t):
     once = skew.latest_per_key(
-        t.lineitem, ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate"), F.desc("l_partkey"), F.desc("l_suppkey")])
+        t.lineitem, ["l_orderkey", "l_linenumber"],
+        [F.desc(c) for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")])
     twice = skew.latest_per_key(
         once.withColumn("day", F.to_date("l_shipdate")), ["l_suppkey", "day"],
         [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")])
