@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.catalog._sql import emean, esum, hu
 from lakeloom.functions import conditional as C
-from lakeloom.functions.literals import exact_mean, exact_sum, half_up
+from lakeloom.functions.literals import exact_mean, exact_sum, half_up, units
 from lakeloom.operators import metrics as K
 from lakeloom.plans import ordered
 from lakeloom.registry import query
@@ -23,19 +23,30 @@ NET_SQL = "l_extendedprice * (1 - l_discount)"
 
 
 def sales(t):
-    src = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(t.customer, F.col("o_custkey") == F.col("c_custkey")))
-    revenue, orders, users = exact_sum(net(), 4), F.count_distinct("o_orderkey"), F.count_distinct("o_custkey")
+    """Sales metrics over one row per order.
+
+    The lines are summed per order before the joins, so one row per order is shuffled instead of every
+    line, and an order count is a plain count.
+    """
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(units(net(), 4)).alias("net"), F.sum(units(F.col("l_extendedprice") * 0.7)).alias("goods"),
+        F.count("*").alias("lines"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))
+    src = lines.join(t.orders, "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+
+    def total(c, digits):
+        return F.sum(c).cast("double") / float(10**digits)
+
+    revenue, orders, users = total("net", 4), F.count("*"), F.count_distinct("o_custkey")
+    urgent = total(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("net")), 4)
     return K.MetricView(
         src,
         {"segment": F.col("c_mktsegment"), "month": F.date_format("o_orderdate", "yyyy-MM"), "year": F.year("o_orderdate").cast("bigint")},
         {
             "revenue": revenue, "orders": orders, "customers": users,
             "aov": half_up(revenue / orders, 2), "arpu": half_up(revenue / users, 2),
-            "return_pct": half_up(F.count_if(F.col("l_returnflag") == "R") * F.lit(100.0) / F.count("*"), 2),
-            "margin_pct": half_up((revenue - exact_sum(F.col("l_extendedprice") * 0.7)) * 100 / revenue, 2),
-            "urgent_revenue": exact_sum(F.when(F.col("o_orderpriority") == "1-URGENT", net()), 4),
-            "urgent_share": half_up(exact_sum(F.when(F.col("o_orderpriority") == "1-URGENT", net()), 4) * 100 / revenue, 2),
+            "return_pct": half_up(F.sum("returned") * F.lit(100.0) / F.sum("lines"), 2),
+            "margin_pct": half_up((revenue - total("goods", 2)) * 100 / revenue, 2),
+            "urgent_revenue": urgent, "urgent_share": half_up(urgent * 100 / revenue, 2),
         },
         where=F.col("o_orderstatus") != "P")
 

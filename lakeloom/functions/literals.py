@@ -21,10 +21,19 @@ def half_up(c: Column, digits: int) -> Column:
     return F.floor(c * scale + 0.5) / scale
 
 
+def units(c: str | Column, digits: int = 2) -> Column:
+    """Amount in whole units of its last decimal, as an integer decimal.
+
+    Casting a double to a decimal goes through text; flooring it to a long first does not. The sum stays
+    a decimal, since a long would overflow on very large tables.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * float(10**digits) + 0.5).cast("decimal(18,0)")
+
+
 def exact_sum(c: str | Column, digits: int = 2) -> Column:
     """Sum of amounts with a fixed number of decimals, free of floating-point order effects."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double")
+    return F.sum(units(c, digits)).cast("double") / float(10**digits)
 
 
 def exact_mean(c: str | Column, digits: int = 2) -> Column:
