@@ -36,7 +36,7 @@ def devices(t):
 
 def everything(t, name):
     _, raw, clean = CLEANED[name]
-    return clean(bronze.telemetry(t.events, raw), devices(t))
+    return clean(bronze.telemetry(t.spread("events", "event_id"), raw), devices(t))
 
 
 def cleaned(t, name):
@@ -98,7 +98,7 @@ query("gld_05_streaming_qoe", S.GOLD["streaming_qoe"])(
 
 @query("gld_06_user_engagement_360", S.GOLD["user_engagement_360"])
 def engagement(t):
-    switches = bronze.telemetry(t.events, "input_switch_events").withColumn("event_date", F.to_date("ts"))
+    switches = bronze.telemetry(t.spread("events", "event_id"), "input_switch_events").withColumn("event_date", F.to_date("ts"))
     names = ("voice_interactions", "iot_interactions")
     return gold.user_engagement_360(
         devices(t), cleaned(t, "viewing_sessions"), *[cleaned(t, n) for n in names], switches,
