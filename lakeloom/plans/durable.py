@@ -5,6 +5,7 @@ Executors can disappear, so a cut is always a written table and never an executo
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,14 +15,14 @@ _OWN_ROOTS: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder from ``spark.checkpoint.dir``; a temporary one only on an unconfigured local master."""
+    """Folder from ``spark.checkpoint.dir``; a temporary one only if driver and tasks are one local process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
     if app not in _OWN_ROOTS:
@@ -39,3 +40,9 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written table that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
