@@ -135,15 +135,19 @@ def merged(t):
 
 
 @query("src_12_rescued_data", """
-SELECT CASE WHEN event_id % 9 = 4 THEN 'rescued' ELSE 'clean' END AS kind, count(*) AS n,
- sum(CASE WHEN event_id % 9 = 4 THEN NULL ELSE json_extract_string(props, '$.k')::INT END)::BIGINT AS total FROM events GROUP BY 1
+SELECT CASE WHEN event_id % 9 IN (4, 5) THEN 'rescued' ELSE 'clean' END AS kind, count(*) AS n,
+ sum(CASE event_id % 9 WHEN 4 THEN NULL WHEN 5 THEN 7 ELSE json_extract_string(props, '$.k')::INT END)::BIGINT AS total,
+ count(DISTINCT CASE event_id % 9 WHEN 4 THEN 'text ' || event_id WHEN 5 THEN 'field ' || event_id % 4 END) AS texts FROM events GROUP BY 1
 """)
 def rescue(t):
-    text = F.when(F.col("event_id") % 9 == 4, F.concat(F.lit('{"k": "bad-'), F.col("event_id").cast("string"), F.lit('"}'))).otherwise(F.col("props"))
+    wrong = F.concat(F.lit('{"k": "bad-'), F.col("event_id").cast("string"), F.lit('"}'))
+    wider = F.concat(F.lit('{"k": 7, "extra": "'), (F.col("event_id") % 4).cast("string"), F.lit('"}'))
+    text = F.when(F.col("event_id") % 9 == 4, wrong).when(F.col("event_id") % 9 == 5, wider).otherwise(F.col("props"))
     raw = t.events.select("event_id", text.alias("body"))
     parsed = files.rescued(raw, "body", T.StructType([T.StructField("k", T.IntegerType())]))
     kind = F.when(F.col("_rescued_data").isNotNull(), "rescued").otherwise("clean")
-    return parsed.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.sum("k").alias("total"))
+    return parsed.groupBy(kind.alias("kind")).agg(
+        F.count("*").alias("n"), F.sum("k").alias("total"), F.countDistinct("_rescued_data").alias("texts"))
 
 
 @query("src_13_clustered_compaction", """

@@ -16,9 +16,12 @@ def iso(c: str | Column, pattern: str = "yyyy-MM-dd") -> Column:
 
 
 def half_up(c: Column, digits: int) -> Column:
-    """Rounding on the binary value, so that every IEEE engine gives the same digits."""
+    """Rounding on the binary value, so that every IEEE engine gives the same digits.
+
+    From 2^53 units of the last digit on a double has no digits left to round and stays as it is; the whole numbers below fit a long.
+    """
     scale = float(10**digits)
-    return F.floor(c * scale + 0.5) / scale
+    return F.when(F.abs(c) >= 2.0**53 / scale, c.cast("double")).otherwise(F.floor(c * scale + 0.5) / scale)
 
 
 def units(c: str | Column, digits: int = 2) -> Column:

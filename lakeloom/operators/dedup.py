@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import tokens
-from lakeloom.operators import graph
-from lakeloom.plans import durable, skew
+from lakeloom.plans import durable, grouped, skew
+from lakeloom.plans.components import components
 
 
 def content_key(text: Column) -> Column:
@@ -33,41 +35,36 @@ def shingles(words: Column, k: int = 3) -> Column:
     return F.array_distinct(runs)
 
 
-def _jaccard(a: Column, b: Column) -> Column:
-    shared = F.size(F.array_intersect(a, b))
-    return shared / (F.size(a) + F.size(b) - shared)
+BUCKET_ROWS = 500
 
 
-LEADERS_PER_ROUND = 8
+def _links(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (leader, id, jaccard) that connect whatever is connected within a bucket.
 
-
-def _leaders(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (leader, member) found by repeatedly comparing each bucket with its lowest open members.
-
-    One round is linear in the bucket: everyone is compared with a few leaders and with no one else.
-    Members that match none of them stay for the next round, until every bucket is used up.
+    All members of a bucket are compared with each other inside a task, a large bucket in pairs of parts, so every link is seen and
+    the number of rounds is one. Of the links of a task only those that hold its groups together leave it, one per text at most.
     """
-    found = None
-    rest = buckets
-    while True:
-        lead = skew.top_per_key(rest, ["bucket"], [F.asc("id")], LEADERS_PER_ROUND, "no").select("bucket", F.col("id").alias("leader"))
-        # a bucket may hold a large share of the texts, hence the salt
-        pairs = durable.cut(skew.salted_join(rest, lead, ["bucket"], ["id"]).filter("id > leader"), "pairs")
-        if pairs.isEmpty():
-            return found if found is not None else _no_links(sets)
-        with_member = pairs.select("leader", "id").distinct().join(sets, "id")
-        small = sets.select(F.col("id").alias("leader"), F.col("set").alias("lset"))
-        # a leader of many copies is a hot key here as well
-        scored = skew.salted_join(with_member, small, ["leader"], ["id"]).withColumn("jaccard", _jaccard(F.col("lset"), F.col("set")))
-        good = durable.cut(scored.filter(F.col("jaccard") >= threshold).select("leader", "id", "jaccard"), "links")
-        found = good if found is None else found.unionByName(good)
-        used = pairs.join(good, ["leader", "id"], "left_semi").select("bucket", "id").unionByName(
-            pairs.select("bucket", F.col("leader").alias("id")))
-        rest = durable.cut(pairs.select("bucket", "id").distinct().join(used.distinct(), ["bucket", "id"], "left_anti"), "rest")
-
-
-def _no_links(sets: DataFrame) -> DataFrame:
-    return sets.limit(0).select(F.col("id").alias("leader"), "id", F.lit(1.0).alias("jaccard"))
+    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
+    members = buckets.join(crowded, "bucket").join(sets, "id")
+    dealt = grouped.in_blocks(members, "bucket", "id", "m", BUCKET_ROWS).select("group", "id", "set")
+
+    def connect(table: pa.Table) -> pa.RecordBatch | None:
+        ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
+        held = [table.column("set")[int(i)].values.to_numpy() for i in first]
+        size = np.array([len(s) for s in held])
+        shared = grouped.overlaps(held)
+        jaccard = shared / (size[:, None] + size[None, :] - shared)
+        linked = jaccard >= threshold
+        np.fill_diagonal(linked, False)
+        _, parent = grouped.first_connected(linked)
+        far = np.flatnonzero(parent != np.arange(len(ids)))
+        if not len(far):
+            return None
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids[parent[far]]), pa.array(ids[far]), pa.array(jaccard[parent[far], far])], ["leader", "id", "jaccard"])
+
+    return dealt.repartition("group").sortWithinPartitions("group").mapInArrow(
+        grouped.by_group(connect), "leader long, id long, jaccard double")
 
 
 def near_duplicate_links(df: DataFrame, key: str, text: str, threshold: float = 0.85, bands: int = 16, rows: int = 4) -> DataFrame:
@@ -84,7 +81,7 @@ def near_duplicate_links(df: DataFrame, key: str, text: str, threshold: float =
     mins = each.groupBy("id").agg(*[F.min(F.xxhash64("s", F.lit(i))).alias(f"m{i}") for i in range(bands * rows)])
     keys = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * rows + r}" for r in range(rows)]) for b in range(bands)])
     buckets = durable.cut(mins.select("id", F.explode(keys).alias("bucket")), "buckets")
-    return _leaders(buckets, sets, threshold).groupBy("leader", "id").agg(F.max("jaccard").alias("jaccard"))
+    return _links(buckets, sets, threshold).groupBy("leader", "id").agg(F.max("jaccard").alias("jaccard"))
 
 
 def near_duplicate_groups(df: DataFrame, key: str, text: str, threshold: float = 0.85) -> DataFrame:
@@ -92,4 +89,4 @@ def near_duplicate_groups(df: DataFrame, key: str, text: str, threshold: float =
     copies = exact_copies(df, key, text).filter(F.col(key) != F.col("keep_id"))
     links = near_duplicate_links(df, key, text, threshold).select(F.col("leader").alias("a"), F.col("id").alias("b"))
     edges = links.unionByName(copies.select(F.col("keep_id").alias("a"), F.col(key).alias("b")))
-    return graph.components(edges).select(F.col("node").alias(key), F.col("component").alias("group_id"))
+    return components(edges).select(F.col("node").alias(key), F.col("root").alias("group_id"))

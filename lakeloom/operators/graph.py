@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.plans import components as connected
 from lakeloom.plans import durable
 
 
@@ -28,21 +29,6 @@ def reachable(edges: DataFrame, start: DataFrame, max_hops: int) -> DataFrame:
     return seen.filter("hops > 0")
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(node, component) where the component is named by its lowest node.
-
-    Each round every node takes the lowest name among itself and its neighbours, and then the name of
-    that name, so long chains shrink by half per round.
-    """
-    links = edges.filter("a <> b")
-    both = durable.cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    names = durable.cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "names")
-    for _ in range(max_rounds):
-        offered = both.join(names, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = names.join(offered, "node").select("node", F.least("component", "near").alias("component"), F.col("component").alias("old"))
-        jump = step.select(F.col("node").alias("component"), F.col("component").alias("root"))
-        after = durable.cut(step.join(jump, "component", "left").select("node", F.coalesce("root", "component").alias("component"), "old"), "names")
-        names = after.select("node", "component")
-        if after.filter("component <> old").isEmpty():
-            return names
-    raise RuntimeError("components did not settle")
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) where the component is named by its lowest node; see ``plans.components``."""
+    return connected.components(edges).withColumnRenamed("root", "component")

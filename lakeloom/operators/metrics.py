@@ -32,7 +32,7 @@ def with_growth(df: DataFrame, series: Sequence[str], period: str, measure: str,
     return df.withColumn(name, F.try_divide(F.col(measure) - prev, prev) * 100)
 
 
-def evaluate_alerts(metrics: DataFrame, alerts: DataFrame, limit: int = 10_000) -> DataFrame:
+def evaluate_alerts(metrics: DataFrame, alerts: DataFrame) -> DataFrame:
     """Alerts (name, metric, operator, threshold) joined with metric values (metric, value); fired ones only."""
     joined = metrics.join(alerts, "metric")
     value, threshold, op = F.col("value"), F.col("threshold"), F.col("operator")

@@ -13,15 +13,16 @@ from lakeloom.functions import conditional as C
 FAILURES = [
     ("timeout", ["TIMEOUT", "TIMED OUT"]), ("permission", ["PERMISSION", "DENIED"]),
     ("missing_table", ["TABLE_OR_VIEW_NOT_FOUND", "TABLE NOT FOUND"]), ("missing_column", ["UNRESOLVED_COLUMN", "COLUMN NOT FOUND"]),
+    ("ambiguous_reference", ["AMBIGUOUS"]),
     ("syntax", ["PARSE_SYNTAX_ERROR", "SYNTAX"]),
 ]
 LINT = {
     "select_star": r"(?i)select\s+\*",
-    "hard_coded_date": r"'[0-9]{4}-[0-9]{2}-[0-9]{2}'",
-    "unsafe_division": r"[a-z_)]\s*/\s*[a-z_(]",
+    "hard_coded_date": r"""['"][0-9]{4}-[0-9]{2}-[0-9]{2}['"]""",
+    "unsafe_division": r"(?i)[a-z_)]\s*/\s*(?!(?:nullif|try_divide)\s*\()[a-z_(]",
 }
 AGGREGATE = r"(?i)(sum|count|avg|min|max)\s*\("
-REFERENCE = r"(?i)(?:from|join)\s+([a-z_][a-z0-9_.]*)"
+REFERENCE = r"(?i)\b(?:from|join)\s+([a-z_`][a-z0-9_.`]*)"
 
 
 def normalized(sql: Column) -> Column:
@@ -35,8 +36,9 @@ def compared(log: DataFrame) -> DataFrame:
 
 def categorized(log: DataFrame) -> DataFrame:
     """Category of each failed record; the first rule that fits wins."""
-    cat = C.keyword_category(F.concat_ws(" ", "status", "error"), FAILURES, "wrong_result")
-    return compared(log).withColumn("category", F.when(~F.col("passed"), cat))
+    cat = C.keyword_category(F.coalesce("error", F.lit("")), FAILURES, "wrong_result")
+    no_sql = F.trim(F.coalesce("generated_sql", F.lit(""))) == ""
+    return compared(log).withColumn("category", F.when(~F.col("passed"), F.when(no_sql, "no_sql").otherwise(cat)))
 
 
 def summary(log: DataFrame) -> DataFrame:
@@ -58,5 +60,5 @@ def lint(sql: Column) -> Column:
 
 
 def references(log: DataFrame, sql: str) -> DataFrame:
-    tables = F.transform(F.regexp_extract_all(sql, F.lit(REFERENCE), F.lit(1)), F.lower)
+    tables = F.transform(F.regexp_extract_all(sql, F.lit(REFERENCE), F.lit(1)), lambda x: F.lower(F.replace(x, F.lit("`"), F.lit(""))))
     return log.select(F.explode(F.array_distinct(tables)).alias("table_name")).groupBy("table_name").agg(F.count("*").alias("queries"))

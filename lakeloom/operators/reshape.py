@@ -27,14 +27,9 @@ def pivot(
     return base.join(wide, list(keys), "left") if base is not None else wide
 
 
-def pivot_dynamic(
-    df: DataFrame, keys: Sequence[str], on: str, agg: Column, max_values: int = 200
-) -> DataFrame:
-    """Pivot on the values found in the data; refuses more than ``max_values`` columns."""
-    found = [r[0] for r in df.select(on).distinct().orderBy(on).limit(max_values + 1).collect()]
-    if len(found) > max_values:
-        raise ValueError(f"{on} has more than {max_values} values; list the wanted ones instead")
-    return df.groupBy(*keys).pivot(on, found).agg(agg)
+def pivot_dynamic(df: DataFrame, keys: Sequence[str], on: str, agg: Column) -> DataFrame:
+    """Pivot on the values found in the data; ``spark.sql.pivotMaxValues`` bounds the number of columns."""
+    return df.groupBy(*keys).pivot(on).agg(agg)
 
 
 def unpivot(

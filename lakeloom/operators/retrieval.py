@@ -13,7 +13,7 @@ from lakeloom.plans import ordered, skew
 
 K1, B = 1.2, 0.75
 RRF_CONSTANT = 60
-MAX_QUERIES = 1000
+QUERIES_PER_PASS = 1000
 
 
 def as_doubles(v: Column) -> Column:
@@ -31,15 +31,19 @@ def cosine(a: Column, b: Column) -> Column:
 def vector_top_k(vectors: DataFrame, queries: DataFrame, key: str, vec: str, k: int) -> DataFrame:
     """Exact cosine top-k per query (query_id, qvec).
 
-    The queries, at most ``MAX_QUERIES``, travel as one value to the vectors; each task keeps its own
-    best k per query before anything is shuffled.
+    Queries travel as one value to the vectors, ``QUERIES_PER_PASS`` at a time, and each pass reads the vectors once; each task
+    keeps its own best k per query before anything is shuffled.
     """
-    qs = queries.select("query_id", as_doubles(F.col("qvec")).alias("q")).limit(MAX_QUERIES + 1)
-    packed = qs.agg(F.when(F.count("*") <= MAX_QUERIES, F.collect_list(F.struct("query_id", "q")))
-                    .otherwise(F.raise_error(F.lit("too many queries for one pass")).cast("array<struct<query_id:bigint,q:array<double>>>")).alias("p"))
-    rows = vectors.withColumn("__v", as_doubles(F.col(vec))).withColumn("__q", F.explode(packed.scalar()))
-    scored = rows.select(F.col("__q.query_id").alias("query_id"), key, cosine(F.col("__v"), F.col("__q.q")).alias("score"))
-    return skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
+    qs = queries.select("query_id", as_doubles(F.col("qvec")).alias("q"))
+    passes = max(1, -(-qs.count() // QUERIES_PER_PASS))
+    found = []
+    for i in range(passes):
+        part = qs.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == i) if passes > 1 else qs
+        packed = part.agg(F.collect_list(F.struct("query_id", "q")).alias("p"))
+        rows = vectors.withColumn("__v", as_doubles(F.col(vec))).withColumn("__q", F.explode(packed.scalar()))
+        scored = rows.select(F.col("__q.query_id").alias("query_id"), key, cosine(F.col("__v"), F.col("__q.q")).alias("score"))
+        found.append(skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank"))
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 def bm25_top_k(docs: DataFrame, queries: dict[int, str], key: str, text: str, k: int) -> DataFrame:

@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 1_000_000
+BROADCAST_BYTES = 64 * 2**20
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True if ``df`` has at most ``rows`` rows; reads no more than ``rows + 1`` of them."""
-    return df.limit(rows + 1).count() <= rows
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df``, from file sizes and the plan; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only after the side was measured; otherwise the plan shuffles as usual."""
-    return F.broadcast(df) if small_enough(df, rows) else df
+def checked_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only where the estimated size is bounded; otherwise adaptive execution chooses the join by the real size."""
+    return F.broadcast(df) if estimated_bytes(df) <= most else df
 
 
 def salted_join(

@@ -36,10 +36,10 @@ class Tables:
         return self._cache[name]
 
     def spread(self, name: str, key: str) -> DataFrame:
-        """The table over all cores even if it lies in a few files; left alone where files abound."""
+        """The table over all cores even if the scan has fewer parts than that."""
         df = getattr(self, name)
         cores = self.spark.sparkContext.defaultParallelism
-        return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
     def views(self, *names: str) -> None:
         """Expose tables to ``spark.sql`` under their own names."""

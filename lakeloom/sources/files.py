@@ -75,10 +75,17 @@ def append_merged(spark: SparkSession, path: str, *frames: DataFrame) -> DataFra
 
 
 def rescued(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
-    """JSON text to columns; rows that miss the schema keep their text in ``_rescued_data``."""
+    """JSON text to columns; what the schema has no place for goes to ``_rescued_data``.
+
+    Rows that miss the schema keep their whole text there, rows with fields beyond the schema keep those fields as JSON.
+    """
     full = T.StructType([*schema.fields, T.StructField("_rescued_data", T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_rescued_data"}
-    return df.withColumn("__j", F.from_json(text, full, opts)).select(*[c for c in df.columns if c != text], "__j.*")
+    every = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    beyond = F.map_filter(every, lambda k, v: ~k.isin(*schema.names))
+    parsed = df.withColumns({"__j": F.from_json(text, full, opts), "__x": beyond})
+    kept = F.coalesce(F.col("__j._rescued_data"), F.when(F.size("__x") > 0, F.to_json("__x")))
+    return parsed.select(*[c for c in df.columns if c != text], *[F.col(f"__j.{n}").alias(n) for n in schema.names], kept.alias("_rescued_data"))
 
 
 def cluster_by(df: DataFrame, path: str, keys: Sequence[str], files: int) -> None:

@@ -56,4 +56,7 @@ def test_interval_against_brute_force(spark):
 
 
 def test_broadcast_only_when_small(t):
-    assert skew.small_enough(t.region, 5) and not skew.small_enough(t.nation, 5)
+    assert 0 < skew.estimated_bytes(t.region) < skew.estimated_bytes(t.lineitem)
+    hinted = skew.checked_broadcast(t.region)._jdf.queryExecution().logical().toString()
+    plain = skew.checked_broadcast(t.lineitem, 1000)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()

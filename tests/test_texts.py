@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeloom.functions import stats
+from lakeloom.functions.literals import half_up
 from lakeloom.operators import chunking, dedup, graph, monitoring, retrieval
 
 
@@ -66,6 +67,27 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == want
 
 
+def test_near_duplicates_in_chains_and_split_buckets(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    text = rng.choices(words, k=200)
+    docs = [" ".join(text[i * 4:i * 4 + 130]) for i in range(17)]  # neighbours are alike, the ends are not
+    docs += [" ".join(rng.choices(words, k=60)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    near = {(i, j) for i in range(len(docs)) for j in range(i) if _jaccard(docs[i], docs[j]) >= 0.85}
+    assert (1, 0) in near and (16, 0) not in near
+    for rows in (500, 3):
+        monkeypatch.setattr(dedup, "BUCKET_ROWS", rows)
+        got = {r.doc_id: r.group_id for r in dedup.near_duplicate_groups(df, "doc_id", "text", 0.85).collect()}
+        assert got == {i: 0 for i in range(17)}
+
+
+def test_rounding_of_large_amounts(spark):
+    df = spark.createDataFrame([(2.0e17,), (1e18,), (-3.0e300,), (1.005,), (2.5,), (None,)], "v double")
+    got = [r[0] for r in df.select(half_up(F.col("v"), 2)).collect()]
+    assert got == [2.0e17, 1e18, -3.0e300, 1.0, 2.5, None]
+
+
 def test_links_are_linear_in_the_group(spark):
     text = "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3
     df = spark.createDataFrame([(i, text + f"t{i}") for i in range(150)], "doc_id long, text string")
