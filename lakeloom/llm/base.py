@@ -58,13 +58,6 @@ class Memo(dict):
         return value
 
 
-def runs(keys: np.ndarray) -> np.ndarray:
-    """Borders of the runs of equal values: the start of each, and the end."""
-    if not len(keys):
-        return np.zeros(1, np.int64)
-    return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-
-
 def byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies write for each byte.
 

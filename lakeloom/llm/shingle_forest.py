@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -11,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import Memo, runs, small_batches, text_or_empty
+from lakeloom.llm.base import Memo, small_batches, text_or_empty
 from lakeloom.plans import durable
 from lakeloom.plans.components import components
+from lakeloom.plans.grouped import by_group, first_connected, in_blocks, overlaps
 
 TRIES, DEEPEST = 16, 6
 HASHES = TRIES * DEEPEST
@@ -88,68 +89,6 @@ def signatures(docs: DataFrame, width: int, depth: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, s1 long, s2 long, n long, sig binary")
 
 
-def in_blocks(rows: DataFrame, key: str, member: str, size: str, most: int) -> DataFrame:
-    """``rows`` with (part, a, b): a group of more than ``most`` rows is dealt over parts, and a row is repeated for each pair a < b of parts
-    that has its own, so that any two rows of a group meet somewhere and no pair of parts holds more than about 2 * ``most``."""
-    parts = F.ceil(F.col(size) / most).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), member), F.col("parts")).cast("int"))
-    other = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: x != F.col("part")))
-    rows = rows.withColumn("other", F.explode(other))
-    rows = rows.withColumns({"a": F.least("part", "other"), "b": F.greatest("part", "other")})
-    return rows.withColumn("group", F.xxhash64(key, "a", "b")).drop("parts", "other")
-
-
-def by_group(work: Callable[[pa.Table], pa.RecordBatch | None]) -> Callable:
-    """A function for ``mapInArrow`` over rows sorted by ``group``: ``work`` for each whole group, results in larger batches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        out: list[pa.RecordBatch] = []
-
-        def close() -> None:
-            found = work(pa.Table.from_batches(held))
-            if found is not None:
-                out.append(found)
-            held.clear()
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column("group").to_numpy()
-            if held and held[0].column("group")[0].as_py() != keys[0]:
-                close()
-            borders = runs(keys)
-            for i, (a, z) in enumerate(zip(borders, borders[1:])):
-                if i:
-                    close()
-                held.append(batch.slice(a, z - a))
-            if sum(b.num_rows for b in out) > 5000:
-                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                out.clear()
-        if held:
-            close()
-        if out:
-            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-
-    return run
-
-
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """The first row that each row is connected to, by a matrix of links."""
-    root = np.full(len(linked), -1)
-    for i in range(len(linked)):
-        if root[i] < 0:
-            front = np.zeros(len(linked), bool)
-            front[i] = True
-            group = front.copy()
-            while front.any():
-                front = linked[front].any(0) & ~group
-                group |= front
-            root[group] = i
-    return root
-
-
 def candidates(nodes: DataFrame, depth: int, least_share: float = 0.5) -> DataFrame:
     """(a, b): links that hold together all texts which share a trie prefix and at least ``least_share`` of all hashes.
 
@@ -172,7 +111,7 @@ def candidates(nodes: DataFrame, depth: int, least_share: float = 0.5) -> DataFr
         for column in sig.T:
             same += column[:, None] == column[None, :]
         order = np.argsort(rep, kind="stable")
-        root = _roots((same >= least_share * sig.shape[1])[np.ix_(order, order)])
+        root, _ = first_connected((same >= least_share * sig.shape[1])[np.ix_(order, order)])
         rep = rep[order]
         far = root != np.arange(len(rep))
         return pa.RecordBatch.from_arrays([pa.array(rep[root[far]]), pa.array(rep[far])], ["a", "b"]) if far.any() else None
@@ -180,27 +119,6 @@ def candidates(nodes: DataFrame, depth: int, least_share: float = 0.5) -> DataFr
     return dealt.repartition("group").sortWithinPartitions("group").mapInArrow(by_group(link), "a long, b long").distinct()
 
 
-def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each two sets share, from the shingles that at least two of them have, a stretch at a time."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    every = np.concatenate(sets)
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    borders = runs(every)
-    number = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
-    shared = np.diff(borders) > 1
-    keep, number = shared[number], (np.cumsum(shared) - 1)[number]
-    owner, number = owner[keep], number[keep]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    stretch = 4096
-    for start in range(0, int(shared.sum()), stretch):
-        a, z = np.searchsorted(number, [start, start + stretch])
-        has = np.zeros((len(sets), stretch), np.float32)
-        has[owner[a:z], number[a:z] - start] = 1
-        out += has @ has.T
-    return out.astype(np.int64)
-
-
 def similar(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: float = 0.9999) -> DataFrame:
     """doc_id, class_id, n_links: all texts whose sets of ``width``-word shingles have a Jaccard similarity of ``threshold`` or more.
 
@@ -250,12 +168,12 @@ def similar(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: flo
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
         held = [np.frombuffer(table.column("set")[int(i)].as_py(), np.uint64) for i in first]
         size = np.array([len(s) for s in held])
-        linked = _overlaps(held) * (over + under) >= over * (size[:, None] + size[None, :])
+        linked = overlaps(held) * (over + under) >= over * (size[:, None] + size[None, :])
         np.fill_diagonal(linked, False)
         # pairs within a part meet in several pairs of parts and count in the first of them
         home = (part == 0) & (b <= 1) | (part > 0) & (a == 0) & (part == b)
         counted = linked & ((part[:, None] != part[None, :]) | home[:, None])
-        root = _roots(linked)
+        root, _ = first_connected(linked)
         return pa.RecordBatch.from_arrays([pa.array(node), pa.array(counted @ copies), pa.array(node[root])], ["node", "links", "first"])
 
     checked = durable.cut(dealt.repartition("group").sortWithinPartitions("group").mapInArrow(
