@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import small_batches, text_or_empty
+from lakeloom.plans import durable
 
 BITS = 18
 BLOCK = 4_000_000
@@ -51,28 +52,32 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.margin(grams), -30, 30))))
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 15, batch: int = 500, rate: float = 0.02,
-          seed: int = 3) -> Model:
-    """A linear classifier from examples of one class and unlabelled ones.
+def telling(n_pos: np.ndarray, n_unl: np.ndarray, positive: int, unlabelled: int) -> np.ndarray:
+    """The value of each bucket, 0 for those that do not take part.
+
+    From the numbers of positive and unlabelled texts that have it: the log of the ratio of their shares, where it is clearly above 0 and enough
+    positive texts have it.
+    """
+    ratio = np.log((n_pos + 1) / (positive + 2)) - np.log((n_unl + 1) / (unlabelled + 2))
+    return np.where((n_pos >= min(5, max(2, positive // 10))) & (ratio > 0.7), ratio, 0.0)
+
+
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], ratio: np.ndarray, prior: float, epochs: int = 15, batch: int = 500,
+          rate: float = 0.02, seed: int = 3) -> Model:
+    """A linear classifier from examples of one class and unlabelled ones, given as their buckets of nonzero ``ratio``.
 
     Minimises prior * mean_P l(f) + max(0, mean_U l(-f) - prior * mean_P l(-f)) with the logistic loss l(z) = log(1 + exp(-z)). The bracket
     estimates the risk on the other class, which cannot be negative; where a batch makes it so, the step goes the other way, which keeps
     the classifier from memorising the positive examples. Adam steps over shuffled batches.
 
-    A bucket takes part if it occurs clearly more often among the positive than among the unlabelled texts; its value is the log of that ratio, and
-    a text's values are divided by the root of their number. Last, the border is put into the widest gap between the margins of the
-    unlabelled texts that leaves about the share ``prior`` of them above. Without positive or unlabelled texts all score ``prior``.
+    A bucket's value is its ``ratio``, and a text's values are divided by the root of their number. Last, the border is put into the widest gap
+    between the margins of the unlabelled texts that leaves about the share ``prior`` of them above. Without positive or
+    unlabelled texts all score ``prior``.
     """
-    size = 2**BITS
+    size, kept = 2**BITS, ratio != 0
     start = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.zeros(size, bool), np.zeros(size, np.float32), start)
-    n_pos, n_unl = (np.bincount(np.concatenate(x), minlength=size) for x in (positive, unlabelled))
-    ratio = np.log((n_pos + 1) / (len(positive) + 2)) - np.log((n_unl + 1) / (len(unlabelled) + 2))
-    kept = (n_pos >= min(5, max(2, len(positive) // 10))) & (ratio > 0.7)
-    ratio = np.where(kept, ratio, 0.0)
-    positive, unlabelled = [x[kept[x]] for x in positive], [x[kept[x]] for x in unlabelled]
-
     rng, w, b = np.random.default_rng(seed), np.zeros(size), start
     m, v, t = np.zeros(size + 1), np.zeros(size + 1), 0
     steps = max(1, -(-len(unlabelled) // batch))
@@ -135,17 +140,35 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = 3000, most_unla
     chosen = docs.join(F.broadcast(toxic.withColumn("positive", F.lit(True))), "doc_id", "left")
     chosen = chosen.withColumn("unlabelled", _picked(most_unlabelled, n_docs, "doc_id", "text")).filter("positive OR unlabelled")
 
+    chosen = durable.cut(chosen.select("positive", "unlabelled", "text").limit(2 * (most_positive + most_unlabelled)), "examples")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, n_pos, n_unl = Grams(), np.zeros(2**BITS, np.int64), np.zeros(2**BITS, np.int64)
+        for batch in small_batches(batches):
+            for text, pos, unl in zip(*(batch.column(c).to_pylist() for c in ("text", "positive", "unlabelled"))):
+                held = grams.of(text)
+                n_pos[held] += bool(pos)
+                n_unl[held] += bool(unl)
+        used = np.flatnonzero(n_pos + n_unl)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n_pos[used]), pa.array(n_unl[used])], ["bucket", "n_pos", "n_unl"])
+
+    sums = chosen.mapInArrow(count, "bucket long, n_pos long, n_unl long").groupBy("bucket").agg(F.sum("n_pos"), F.sum("n_unl")).toPandas()
+    totals = np.zeros((2, 2**BITS))
+    totals[:, sums["bucket"].to_numpy(np.int64)] = sums.iloc[:, 1:].to_numpy(np.float64).T
+    sizes = chosen.agg(F.count_if("positive"), F.count_if("unlabelled")).first()
+    ratio = telling(totals[0], totals[1], *sizes)
+    shared = docs.sparkSession.sparkContext.broadcast(ratio != 0)
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams()
+        grams, kept = Grams(), shared.value
         for batch in small_batches(batches):
-            held = [grams.of(t).tobytes() for t in batch.column("text").to_pylist()]
+            held = [(x := grams.of(t))[kept[x]].tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("positive"), batch.column("unlabelled"), pa.array(held, pa.binary())],
                                              ["positive", "unlabelled", "grams"])
 
-    found = chosen.select("positive", "unlabelled", "text").mapInArrow(features, "positive boolean, unlabelled boolean, grams binary")
-    rows = found.limit(2 * (most_positive + most_unlabelled)).collect()
+    rows = chosen.mapInArrow(features, "positive boolean, unlabelled boolean, grams binary").collect()
     grams = [np.frombuffer(r["grams"], np.int32) for r in rows]
-    return train([g for g, r in zip(grams, rows) if r["positive"]], [g for g, r in zip(grams, rows) if r["unlabelled"]], prior)
+    return train([g for g, r in zip(grams, rows) if r["positive"]], [g for g, r in zip(grams, rows) if r["unlabelled"]], ratio, prior)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
