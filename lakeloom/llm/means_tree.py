@@ -118,7 +118,7 @@ class Index:
     recall: float
 
 
-def build(rows: DataFrame, k: int = 20, target: float = 0.96, sample_rows: int = 20_000, calibration: int = 96, branching: int = 8,
+def build(rows: DataFrame, k: int = 20, target: float = 0.97, sample_rows: int = 20_000, calibration: int = 96, branching: int = 8,
           leaf_rows: int = 64) -> Index:
     """The tree, every row with its leaf, and the number of leaves to visit.
 

@@ -260,7 +260,7 @@ def hash_place(data: bytes) -> int:
 def all_spans(texts: list[str], field: Field) -> list[tuple[list, list]]:
     """(fixed spans, all spans) of each text; a tagged span that meets a fixed one is left to that."""
     out = []
-    for a, z in slices(texts):
+    for a, z in slices(texts, 500_000):
         words = words_of(texts[a:z])
         tags = field.tags(words)
         heads = np.flatnonzero(tags == B)

@@ -35,7 +35,7 @@ class Ids:
         ranks = {bytes(byte[c] for c in t): i for t, i in self.tool.get_vocab().items() if t not in self.special}
         merge = tiktoken.Encoding("pieces", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.find = splitter(PIECES).findall
-        self.memo = Memo(lambda w: np.array(merge(w.encode()), "<u4").tobytes(), 800_000)
+        self.memo = Memo(lambda w: np.array(merge(w.encode()), "<u4").tobytes(), 400_000)
 
     def of(self, text: str) -> bytes:
         if any(s in text for s in self.special):
