@@ -221,6 +221,7 @@ def distinct_sum(t):
 
 @query("agg_22_column_statistics", """
 SELECT count(*) AS rows, count(*) FILTER (WHERE o_totalprice IS NULL) AS o_totalprice_nulls,
+ count(DISTINCT o_totalprice) AS o_totalprice_distinct, count(DISTINCT o_custkey) AS o_custkey_distinct,
  min(o_totalprice) AS o_totalprice_min, max(o_totalprice) AS o_totalprice_max,
  count(*) FILTER (WHERE o_custkey IS NULL) AS o_custkey_nulls, min(o_custkey) AS o_custkey_min,
  max(o_custkey) AS o_custkey_max FROM orders

@@ -263,13 +263,22 @@ def wide(t):
         "n_name", "r_name", "p_name", "p_brand", "l_quantity", "l_extendedprice")
 
 
+HOLIDAYS = {"01-01": "New Year", "05-01": "Labour Day", "12-25": "Christmas Day"}
+
+
 @query("jn_18_date_dimension", """
 WITH d AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS date)
 SELECT date::VARCHAR AS date, strftime(date, '%Y%m%d')::INT AS date_key, year(date)::INT AS year,
  quarter(date)::INT AS quarter, month(date)::INT AS month, day(date)::INT AS day, (dayofweek(date) + 1)::INT AS weekday,
- dayofweek(date) IN (0, 6) AS is_weekend, count(o_orderkey) AS orders
+ dayofweek(date) IN (0, 6) AS is_weekend, monthname(date) AS month_name, dayname(date) AS weekday_name, weekofyear(date)::INT AS week,
+ strftime(date, '%Y-%m') AS year_month, (CASE WHEN month(date) >= 4 THEN year(date) ELSE year(date) - 1 END)::INT AS fiscal_year,
+ CASE WHEN month(date) < 4 THEN 'Q4' WHEN month(date) < 7 THEN 'Q1' WHEN month(date) < 10 THEN 'Q2' ELSE 'Q3' END AS fiscal_quarter,
+ CASE strftime(date, '%m-%d') WHEN '01-01' THEN 'New Year' WHEN '05-01' THEN 'Labour Day' WHEN '12-25' THEN 'Christmas Day' END AS holiday_name,
+ strftime(date, '%m-%d') IN ('01-01', '05-01', '12-25') AS is_holiday,
+ dayofweek(date) NOT IN (0, 6) AND strftime(date, '%m-%d') NOT IN ('01-01', '05-01', '12-25') AS is_business_day,
+ count(o_orderkey) AS orders
 FROM d LEFT JOIN orders ON o_orderdate::DATE = date GROUP BY ALL
 """)
 def date_dimension(t):
     per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("orders"))
-    return joins.calendar("1995-01-01", "2001-12-31", t.spark).join(per_day, "date", "left").fillna(0, ["orders"])
+    return joins.calendar("1995-01-01", "2001-12-31", t.spark, HOLIDAYS).join(per_day, "date", "left").fillna(0, ["orders"])

@@ -278,10 +278,11 @@ LABEL = "event_type = 'purchase' OR value > 120"
 
 @query("fea_19_business_value", f"""
 WITH s AS (SELECT {LABEL} AS l, {SCORE_SQL} > 0.5 AS p FROM events) SELECT count(*) FILTER (WHERE l AND p) AS tp, count(*) FILTER (WHERE NOT l AND p) AS fp, count(*) FILTER (WHERE l AND NOT p) AS fn,
- count(*) FILTER (WHERE l AND p) * 5000.0::DOUBLE - count(*) FILTER (WHERE NOT l AND p) * 500.0::DOUBLE - count(*) FILTER (WHERE l AND NOT p) * 8000.0::DOUBLE AS value FROM s
+ count(*) FILTER (WHERE l AND p) * 5000.0::DOUBLE - count(*) FILTER (WHERE NOT l AND p) * 500.0::DOUBLE - count(*) FILTER (WHERE l AND NOT p) * 8000.0::DOUBLE
+ - count(*) FILTER (WHERE l AND p) * 1000.0::DOUBLE AS value FROM s
 """)
 def value(t):
-    return L.business_value(scored_events(t), F.expr(LABEL), F.col("p") > 0.5, 5000.0, 500.0, 8000.0)
+    return L.business_value(scored_events(t), F.expr(LABEL), F.col("p") > 0.5, 5000.0, 500.0, 8000.0, 1000.0)
 
 
 @query("fea_20_threshold_choice", f"""

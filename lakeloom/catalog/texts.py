@@ -26,25 +26,26 @@ def _replace_chain(col: str, steps) -> str:
 
 
 CLEAN_SQL = "trim(" + _replace_chain("text", [
-    ("(?i)page [0-9]+ of [0-9]+", "''"), (r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "''"), (X.TRACKING, "''"),
+    ("(?i)page [0-9]+ of [0-9]+", "''"), ("- [0-9]+ -", "''"), (r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "''"), (X.TRACKING, "''"),
     (r"(?m)^[ |\t-]*\|[ |\t-]*$", "''"), (r"[ \t]+", "' '"), (r"\n{3,}", "chr(10) || chr(10)")]) + ")"
 
 
-@query("txt_01_clean", f"SELECT doc_id, length(c) AS chars, md5(c) AS digest FROM (SELECT doc_id, {CLEAN_SQL} AS c FROM (SELECT doc_id, text || '   x?ref=1' || chr(10) || chr(10) || chr(10) || 'Page 3 of 9' AS text FROM documents))")
+@query("txt_01_clean", f"SELECT doc_id, length(c) AS chars, md5(c) AS digest FROM (SELECT doc_id, {CLEAN_SQL} AS c FROM (SELECT doc_id, text || '   x?ref=1' || chr(10) || chr(10) || chr(10) || '- 4 -' || chr(10) || 'Page 3 of 9' AS text FROM documents))")
 def clean(t):
-    noisy = F.concat("text", F.lit("   x?ref=1\n\n\nPage 3 of 9"))
+    noisy = F.concat("text", F.lit("   x?ref=1\n\n\n- 4 -\nPage 3 of 9"))
     return t.spread("documents", "doc_id").select("doc_id", X.clean(noisy).alias("c")).select("doc_id", F.length("c").cast("bigint").alias("chars"), F.md5("c").alias("digest"))
 
 
 @query("txt_02_metadata", f"""
-SELECT doc_id, split_part(text, chr(10), 1) AS title, nullif(regexp_extract(text, '{X.DATE}'), '') AS first_date, length(text) AS chars, len(string_split(text, chr(10))) AS lines,
+SELECT doc_id, coalesce(nullif(trim(regexp_extract(text, '{X.HEADING}', 1)), ''), split_part(text, chr(10), 1)) AS title,
+ nullif(regexp_extract(text, '{X.ANY_DATE}'), '') AS first_date, length(text) AS chars, len(string_split(text, chr(10))) AS lines,
  len({TOK}) AS words, CASE WHEN contains(lower(text), 'license') OR contains(lower(text), 'copyright') THEN 'legal' WHEN contains(text, '@') THEN 'contact' WHEN contains(text, '$') THEN 'finance' ELSE 'general' END AS category FROM documents
 """)
 def metadata(t):
     low, x = F.lower("text"), F.col("text")
     category = (F.when(low.contains("license") | low.contains("copyright"), "legal").when(x.contains("@"), "contact").when(x.contains("$"), "finance").otherwise("general"))
     return t.spread("documents", "doc_id").select(
-        "doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.nullif(F.regexp_extract("text", X.DATE, 0), F.lit("")).alias("first_date"),
+        "doc_id", X.title(x).alias("title"), F.nullif(F.regexp_extract("text", X.ANY_DATE, 0), F.lit("")).alias("first_date"),
         F.length("text").cast("bigint").alias("chars"), F.size(F.split("text", "\n")).cast("bigint").alias("lines"),
         F.size(X.tokens(x)).cast("bigint").alias("words"), category.alias("category"))
 

@@ -18,6 +18,8 @@ PII = {
 # card before phone, so that a card number is not read as a phone number
 PII_ORDER = ("email", "card", "ssn", "ip", "phone")
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+ANY_DATE = r"[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}"
+HEADING = r"(?:^|\n)#[ \t]+([^\n]+)"
 AMOUNT = r"[$€£][0-9]+(?:[.,][0-9]+)*"
 TRACKING = r"[?&](?:utm_[a-z]+|ref|fbclid|gclid)=[^&#\s]*"
 WORD = r"[^\p{L}\p{N}]+"
@@ -43,6 +45,7 @@ def clean(text: Column) -> Column:
     """Without page marks, control characters, tracking parameters, empty table rows and blank runs."""
     for pattern, into in (
         (r"(?i)page [0-9]+ of [0-9]+", ""),
+        (r"- [0-9]+ -", ""),
         (r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""),
         (TRACKING, ""),
         (r"(?m)^[ |\t-]*\|[ |\t-]*$", ""),
@@ -53,6 +56,12 @@ def clean(text: Column) -> Column:
     return F.trim(text)
 
 
+def title(text: Column) -> Column:
+    """The first heading, or the first line of a text without headings."""
+    heading = F.trim(F.regexp_extract(text, HEADING, 1))
+    return F.when(heading != "", heading).otherwise(F.split_part(text, F.lit("\n"), F.lit(1)))
+
+
 def plain(html: Column) -> Column:
     """Visible text of a page: scripts, styles, comments and tags removed, five entities resolved."""
     for pattern, into in (

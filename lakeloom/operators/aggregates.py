@@ -42,6 +42,7 @@ def stats_of(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for c in cols:
         aggs += [
             F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"),
+            F.count_distinct(c).alias(f"{c}_distinct"),
             F.min(c).alias(f"{c}_min"),
             F.max(c).alias(f"{c}_max"),
         ]

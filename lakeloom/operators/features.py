@@ -84,10 +84,11 @@ def blend(a: DataFrame, b: DataFrame, user: str, item: str, score: str, weight_a
 RISK_TIERS = [(0.8, "critical"), (0.5, "high"), (0.3, "medium")]
 
 
-def business_value(df: DataFrame, label: Column, predicted: Column, saved: float, alarm: float, missed: float) -> DataFrame:
-    """Money a classifier is worth: savings per true alarm, costs per false alarm and per miss."""
+def business_value(df: DataFrame, label: Column, predicted: Column, saved: float, alarm: float, missed: float,
+                   service: float) -> DataFrame:
+    """Money a classifier is worth: savings less the cost of service per true alarm, costs per false alarm and per miss."""
     tp, fp, fn = F.count_if(label & predicted), F.count_if(~label & predicted), F.count_if(label & ~predicted)
-    return df.agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), (tp * saved - fp * alarm - fn * missed).alias("value"))
+    return df.agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), (tp * saved - fp * alarm - fn * missed - tp * service).alias("value"))
 
 
 def choose_threshold(df: DataFrame, score: Column, label: Column, min_recall: float, steps: int = 100) -> DataFrame:

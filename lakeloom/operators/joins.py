@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -78,9 +78,15 @@ def full_join_on(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(keys), "full"), frames)
 
 
-def calendar(first: str, last: str, spark) -> DataFrame:
-    """Date dimension between two ISO dates, both included."""
+def calendar(first: str, last: str, spark, holidays: Mapping[str, str] | None = None, fiscal_start: int = 4) -> DataFrame:
+    """Date dimension between two ISO dates, both included.
+
+    ``holidays`` names fixed days of the year by "MM-dd". The fiscal year starts with the month ``fiscal_start`` and has the number of the
+    year it starts in. Business days are neither at a weekend nor a holiday.
+    """
     d = F.col("date")
+    names = F.create_map(*[F.lit(x) for pair in holidays.items() for x in pair]) if holidays else F.lit(None).cast("map<string,string>")
+    fiscal = F.add_months(d, 1 - fiscal_start)
     return (
         spark.range(1)
         .select(F.explode(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last)))).alias("date"))
@@ -93,7 +99,16 @@ def calendar(first: str, last: str, spark) -> DataFrame:
             F.dayofmonth(d).alias("day"),
             F.dayofweek(d).alias("weekday"),
             F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+            F.date_format(d, "MMMM").alias("month_name"),
+            F.date_format(d, "EEEE").alias("weekday_name"),
+            F.weekofyear(d).alias("week"),
+            F.date_format(d, "yyyy-MM").alias("year_month"),
+            F.year(fiscal).alias("fiscal_year"),
+            F.concat(F.lit("Q"), F.quarter(fiscal)).alias("fiscal_quarter"),
+            F.try_element_at(names, F.date_format(d, "MM-dd")).alias("holiday_name"),
         )
+        .withColumn("is_holiday", F.col("holiday_name").isNotNull())
+        .withColumn("is_business_day", ~F.col("is_weekend") & ~F.col("is_holiday"))
     )
 
 

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeloom.functions import stats
+from lakeloom.functions import text as X
 from lakeloom.functions.literals import half_up
 from lakeloom.operators import chunking, dedup, graph, monitoring, retrieval
 
@@ -122,3 +123,11 @@ def test_p_values(spark):
     assert all(math.isclose(g, w, rel_tol=1e-9) for g, w in zip(got, [0.05, 0.05, math.exp(-1)]))
     p = spark.range(1).select(stats.kolmogorov_sf(F.lit(0.1358), F.lit(200.0), F.lit(200.0))).first()[0]
     assert math.isclose(p, 0.05, abs_tol=0.002)
+
+
+def test_titles_and_page_marks(spark):
+    texts = ["intro\n# First heading \n# Second", "#no heading\nbody", "", "a\n- 12 -\nb"]
+    got = spark.createDataFrame(enumerate(texts), "id int, text string").select(
+        "id", X.title(F.col("text")).alias("title"), X.clean(F.col("text")).alias("clean")).orderBy("id").collect()
+    assert [r.title for r in got] == ["First heading", "#no heading", "", "a"]
+    assert got[3].clean == "a\n\nb"
