@@ -93,19 +93,22 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.cumsum(x * q, axis=1)[:, -1]
 
 
-def top(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` best of ``rows`` for each query; a fast product chooses the candidates, ``exact_scores`` ranks them."""
-    q, x, ids = matrix(queries["v"]), matrix(rows["v"]), rows["id"].to_numpy()
-    norms, out = np.sqrt((x**2).sum(1)).max(), []
+def top(queries: pd.DataFrame, rows: pd.DataFrame, k: int, pairs: int = 65_536) -> pd.DataFrame:
+    """The ``k`` best of ``rows`` for each query; a fast product chooses the candidates, ``exact_scores`` ranks them, ``pairs`` at a time."""
+    q, x, query_ids, ids = matrix(queries["v"]), matrix(rows["v"]), queries["id"].to_numpy(), rows["id"].to_numpy()
+    slack = 1e-11 * np.sqrt((x**2).sum(1)).max() * np.sqrt((q**2).sum(1))
+    out = []
     for start in range(0, len(q), 128):
         rough = q[start:start + 128] @ x.T
-        for i, score in enumerate(rough, start):
-            score[ids == queries["id"].iat[i]] = -np.inf
-            floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) > k else -np.inf
-            at = np.flatnonzero((score >= floor - 1e-11 * norms * np.sqrt(q[i] @ q[i])) & (score > -np.inf))
-            exact = exact_scores(q[i], x[at])
-            keep = np.lexsort((ids[at], -exact))[:k]
-            out.append(pd.DataFrame({"query_id": queries["id"].iat[i], "vec_id": ids[at[keep]], "score": exact[keep]}))
+        rough[query_ids[start:start + 128, None] == ids] = -np.inf
+        floor = np.partition(rough, len(x) - k, axis=1)[:, len(x) - k] if len(x) > k else np.full(len(rough), -np.inf)
+        of, at = np.nonzero((rough >= (floor - slack[start:start + 128])[:, None]) & (rough > -np.inf))
+        of += start
+        exact = np.concatenate([np.empty(0), *(exact_scores(q[of[i:i + pairs]], x[at[i:i + pairs]]) for i in range(0, len(of), pairs))])
+        order = np.lexsort((ids[at], -exact, of))
+        of, at, exact = of[order], at[order], exact[order]
+        kept = np.arange(len(of)) - np.searchsorted(of, of) < k
+        out.append(pd.DataFrame({"query_id": query_ids[of[kept]], "vec_id": ids[at[kept]], "score": exact[kept]}))
     return pd.concat(out)
 
 
