@@ -89,6 +89,21 @@ def drift_table(t):
     return both.select("feature", F.round("psi", 6).alias("psi"), F.round("ks", 6).alias("ks"), ((F.col("psi") > 0.2) | (F.col("ks") > 0.1)).alias("drifted"))
 
 
+@query("mon_06b_drift_by_window", """
+WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
+ c AS (SELECT date_trunc('week', ts) AS w, least(9, floor((value - lo) / (hi - lo) * 10))::INT AS bin, count(*) AS n FROM events, r GROUP BY 1, 2),
+ g AS (SELECT w, bin, coalesce(n, 0) / sum(n) OVER (PARTITION BY w) AS p FROM (SELECT DISTINCT w FROM c) JOIN (SELECT unnest(range(10))::INT AS bin) ON true LEFT JOIN c USING (w, bin)),
+ u AS (SELECT w, bin, p, sum(p) OVER (PARTITION BY w ORDER BY bin) AS f FROM g),
+ n AS (SELECT w, lag(w) OVER (ORDER BY w) AS previous, first(w) OVER (ORDER BY w) AS baseline FROM (SELECT DISTINCT w FROM c)),
+ o AS (SELECT w, 'previous' AS compared_with, previous AS w0 FROM n WHERE previous IS NOT NULL UNION ALL SELECT w, 'baseline', baseline FROM n WHERE w > baseline)
+SELECT o.w::DATE::VARCHAR AS week, compared_with, round(sum((greatest(a.p, 0.001::DOUBLE) - greatest(b.p, 0.001::DOUBLE)) * ln(greatest(a.p, 0.001::DOUBLE) / greatest(b.p, 0.001::DOUBLE))), 6) AS psi,
+ round(max(abs(a.f - b.f)), 6) AS ks FROM o JOIN u a ON a.w = o.w JOIN u b ON b.w = o.w0 AND b.bin = a.bin GROUP BY 1, 2
+""")
+def drift_by_window(t):
+    drift = N.window_drift(t.events, F.date_trunc("week", "ts"), "value")
+    return drift.select(F.to_date("window").alias("week"), "compared_with", F.round("psi", 6).alias("psi"), F.round("ks", 6).alias("ks"))
+
+
 @query("mon_07_custom_metric", """
 SELECT ts::DATE::VARCHAR AS day, round(sum(value * 2), 2) AS weighted, count(DISTINCT user_id) AS users FROM events GROUP BY ts::DATE
 """)

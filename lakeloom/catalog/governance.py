@@ -12,7 +12,7 @@ from lakeloom.functions import text as X
 from lakeloom.functions.literals import half_up, ntz
 from lakeloom.operators import graph, joins
 from lakeloom.plans import skew
-from lakeloom.registry import query
+from lakeloom.registry import TABLE_NAMES, query
 
 PEOPLE_SQL = """
 people AS (SELECT c_custkey AS id, 'User' || c_custkey || '@Mail' || c_nationkey || '.com' AS email,
@@ -136,6 +136,32 @@ def column_names(t):
     return reduce(lambda a, b: a.unionByName(b), found)
 
 
+COLUMN_PATTERNS = [("%name%", "person_name"), ("%acctbal%", "financial"), ("%price%", "financial"), ("%text%", "free_text"), ("%url%", "web_address"),
+                   ("user_id", "person_key"), ("%custkey%", "person_key")]
+COLUMN_TAGS = [("customer", "c_acctbal"), ("documents", "text"), ("events", "user_id")]
+
+
+@query("gov_08b_pii_all_tables", """
+WITH p(pattern, kind) AS (VALUES """ + ", ".join(map(str, COLUMN_PATTERNS)) + """),
+ c AS (SELECT DISTINCT table_name, column_name FROM information_schema.columns WHERE table_name IN (""" + ", ".join(f"'{n}'" for n in TABLE_NAMES) + """)),
+ f(table_name, filled) AS (""" + " UNION ALL ".join(f"SELECT '{n}', count(*) FROM {n}" for n in TABLE_NAMES) + """),
+ g(table_name, column_name) AS (VALUES """ + ", ".join(map(str, COLUMN_TAGS)) + """)
+SELECT c.table_name, c.column_name, kind AS suspected, filled AS rows, CASE WHEN g.column_name IS NULL THEN 'missing' ELSE 'present' END AS tag
+FROM c JOIN p ON c.column_name LIKE pattern JOIN f ON f.table_name = c.table_name LEFT JOIN g ON g.table_name = c.table_name AND g.column_name = c.column_name
+""")
+def column_names_of_all(t):
+    """Every table's columns that match a pattern of the pattern table, with the table's rows and whether the tag table names them."""
+    schema = [(n, c) for n in TABLE_NAMES for c in getattr(t, n).columns]
+    columns = t.spark.createDataFrame(schema, "table_name string, column_name string")
+    patterns = t.spark.createDataFrame(COLUMN_PATTERNS, "pattern string, suspected string")
+    tags = t.spark.createDataFrame([(*x, "present") for x in COLUMN_TAGS], "table_name string, column_name string, tag string")
+    rows = reduce(lambda a, b: a.unionByName(b), [
+        getattr(t, n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n in TABLE_NAMES])
+    found = columns.join(patterns, F.like("column_name", F.col("pattern")))  # schema rows and patterns, not data
+    return found.join(rows, "table_name").join(tags, ["table_name", "column_name"], "left").select(
+        "table_name", "column_name", "suspected", "rows", F.coalesce("tag", F.lit("missing")).alias("tag"))
+
+
 @query("gov_09_pii_scan", "SELECT lang, " + ", ".join(
     f"sum(len(regexp_extract_all(text, '{X.PII[k]}')))::BIGINT AS {k}" for k in X.PII_ORDER) + " FROM documents GROUP BY 1")
 def pii_scan(t):
@@ -165,6 +191,45 @@ def keyword_block(t):
         F.count("*").alias("n"), F.count_if(hit).alias("blocked"), half_up(F.count_if(hit) * F.lit(100.0) / F.count("*"), 2).alias("block_pct"))
 
 
+TOPICS = [("insult", "idiot"), ("insult", "loser"), ("insult", "clown"), ("insult", "moron"), ("secrets", "password"), ("secrets", "token")]
+
+
+@query("gov_10b_topic_block_per_day", f"""
+WITH k(topic, word) AS (VALUES {", ".join(map(str, TOPICS))}),
+ d AS (SELECT DATE '2024-01-01' + (doc_id % 30)::INT AS day, doc_id, list_distinct(regexp_split_to_array(lower(text), '{X.WORD}')) AS words FROM documents),
+ h AS (SELECT DISTINCT day, doc_id, topic FROM d JOIN k ON list_contains(words, word)),
+ n AS (SELECT day, count(*) AS requests FROM d GROUP BY 1)
+SELECT day::VARCHAR AS day, topic, requests, count(*) AS blocked, {hu("count(*) * 100.0::DOUBLE / requests", 2)} AS block_pct FROM h JOIN n USING (day) GROUP BY 1, 2, 3
+""")
+def topic_block(t):
+    """Requests per day (a document's day comes from its id) that hold a word of the keyword table, by the table's topic.
+
+    Words are matched inside the row before anything is exchanged: the table becomes one map of words to topics.
+    """
+    table = t.spark.createDataFrame(TOPICS, "topic string, word string")
+    words = table.agg(F.map_from_entries(F.collect_list(F.struct("word", "topic")))).scalar()
+    day = F.expr("date_add(DATE '2024-01-01', cast(doc_id % 30 AS int))")
+    docs = t.spread("documents", "doc_id").select(day.alias("day"), X.tokens(F.col("text")).alias("tokens"), words.alias("words"))
+    hits = docs.withColumn("topics", F.array_distinct(F.array_compact(F.transform("tokens", lambda w: F.try_element_at(F.col("words"), w)))))
+    # a request counts once in its day, and once in each of its topics
+    rows = hits.select("day", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce("topics", F.array()))).alias("topic"))
+    per = rows.groupBy("day", "topic").agg(F.count("*").alias("n"))
+    whole = per.filter("topic IS NULL").select("day", F.col("n").alias("requests"))
+    return per.filter("topic IS NOT NULL").join(whole, "day").select(
+        "day", "topic", "requests", F.col("n").alias("blocked"), half_up(F.col("n") * F.lit(100.0) / F.col("requests"), 2).alias("block_pct"))
+
+
+@query("gov_11b_failures_per_address", """
+SELECT user_id, '10.0.0.' || json_extract_string(props, '$.k')::INT // 10 AS address, count(*) AS failures, min(ts)::VARCHAR AS first_seen
+FROM events WHERE event_type = 'error' GROUP BY 1, 2 HAVING count(*) > 5
+""")
+def failures_per_address(t):
+    """More than five failures of one user from one address (the audit log's address block comes from ``props``)."""
+    address = F.concat(F.lit("10.0.0."), F.expr("cast(get_json_object(props, '$.k') AS int) div 10").cast("string"))
+    failed = t.events.filter("event_type = 'error'").groupBy("user_id", address.alias("address"))
+    return failed.agg(F.count("*").alias("failures"), F.min("ts").cast("string").alias("first_seen")).filter("failures > 5")
+
+
 @query("gov_11_failed_login_burst", """
 SELECT user_id, ts::DATE::VARCHAR AS day, count(*) AS failures FROM events WHERE event_type = 'error' GROUP BY user_id, ts::DATE HAVING count(*) > 2
 """)

@@ -251,6 +251,23 @@ def star(t):
     )
 
 
+@query("jn_16b_star_by_fiscal_quarter", """
+SELECT r_name, (CASE WHEN month(o_orderdate) >= 4 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END)::INT AS fiscal_year,
+ CASE WHEN month(o_orderdate) < 4 THEN 'Q4' WHEN month(o_orderdate) < 7 THEN 'Q1' WHEN month(o_orderdate) < 10 THEN 'Q2' ELSE 'Q3' END AS fiscal_quarter,
+ round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS lines
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey
+WHERE dayofweek(o_orderdate) NOT IN (0, 6) AND strftime(o_orderdate, '%m-%d') NOT IN ('01-01', '05-01', '12-25')
+GROUP BY ALL
+""")
+def star_by_fiscal_quarter(t):
+    """Revenue of business days by region and fiscal quarter, both read from the date dimension (a row per day)."""
+    day = F.to_date("o_orderdate")
+    days = joins.calendar("1992-01-01", "2005-12-31", t.spark, HOLIDAYS).filter("is_business_day").select("date", "fiscal_year", "fiscal_quarter")
+    return _star(t).withColumn("order_day", day).join(days, F.col("order_day") == F.col("date")).groupBy("r_name", "fiscal_year", "fiscal_quarter").agg(
+        F.round(F.sum(revenue()), 2).alias("revenue"), F.count("*").alias("lines"))
+
+
 @query("jn_17_one_wide_table", """
 SELECT l_orderkey, l_linenumber, o_orderdate::DATE::VARCHAR AS order_day, c_name, c_mktsegment, n_name, r_name,
  p_name, p_brand, l_quantity, l_extendedprice

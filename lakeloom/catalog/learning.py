@@ -6,6 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from lakeloom.catalog._sql import digest100 as d100
@@ -300,6 +301,22 @@ def class_weights(t):
     return t.events.agg(half_up(F.try_divide(F.count_if(~label), F.count_if(label)), 6).alias("positive_weight"), F.count("*").alias("rows"))
 
 
+@query("fea_21b_weighted_fit", f"""
+WITH l AS (SELECT value AS x, CASE WHEN {LABEL} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y FROM events),
+ p AS (SELECT count(*) FILTER (WHERE y = 0)::DOUBLE / count(*) FILTER (WHERE y = 1) AS pw FROM l),
+ s AS (SELECT sum(w) AS w, sum(w * x) AS x, sum(w * y) AS y, sum(w * x * y) AS xy, sum(w * x * x) AS xx FROM (SELECT x, y, CASE WHEN y = 1 THEN pw ELSE 1 END AS w FROM l, p))
+SELECT round((w * xy - x * y) / (w * xx - x * x), 6) AS slope, round((y - (w * xy - x * y) / (w * xx - x * x) * x) / w, 6) AS intercept FROM s
+""")
+def weighted_fit(t):
+    """A linear probability model whose fit gives each positive row the weight negatives / positives; one pass over the rows."""
+    label = F.expr(LABEL)
+    weight = t.events.agg(F.try_divide(F.count_if(~label), F.count_if(label)).alias("w")).scalar()
+    rows = t.events.select("value", label.cast("double").alias("label"), F.when(label, weight).otherwise(1.0).alias("weight"))
+    rows = VectorAssembler(inputCols=["value"], outputCol="features").transform(rows)
+    model = LinearRegression(weightCol="weight", solver="normal").fit(rows)
+    return t.spark.createDataFrame([(round(float(model.coefficients[0]), 6), round(float(model.intercept), 6))], "slope double, intercept double")
+
+
 @query("fea_22_champion_challenger", f"""
 WITH s AS (SELECT model, {LABEL} AS l, CASE model WHEN 'champion' THEN {SCORE_SQL} > 0.5 ELSE value > 90 END AS p FROM events, (FROM (VALUES ('champion'), ('challenger')) v(model))),
  m AS (SELECT model, round(2 * count(*) FILTER (WHERE l AND p) / (2 * count(*) FILTER (WHERE l AND p) + count(*) FILTER (WHERE l <> p)), 6) AS f1,

@@ -85,6 +85,33 @@ def kolmogorov_smirnov(long: DataFrame, width: Mapping[str, float] | float) -> D
     return d.withColumn("p_value", kolmogorov_sf(F.col("ks"), F.col("n").cast("double"), F.col("m").cast("double"))).drop("n", "m")
 
 
+def window_drift(df: DataFrame, window: Column, value: str, bins: int = 10) -> DataFrame:
+    """Drift of every window against the one before it and against the first one.
+
+    Returns (window, compared_with, psi, ks): ``compared_with`` is 'previous' or 'baseline'. Rows become one count per window and equal-width
+    bin of the whole range in a single aggregation; all that follows sees only these. ``ks`` is the largest gap of the binned distributions. The
+    first window has nothing to be compared with; rows whose value or window is NULL are left out.
+    """
+    rows = df.select(window.alias("window"), F.col(value).cast("double").alias("v")).filter("window IS NOT NULL AND v IS NOT NULL")
+    span = rows.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
+    lo, hi = span["lo"], span["hi"]
+    place = F.when(hi > lo, F.floor((F.col("v") - lo) / (hi - lo) * bins)).otherwise(0)
+    counts = rows.groupBy("window", F.least(F.lit(bins - 1), place).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    per_window = counts.groupBy("window").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"), F.sum("n").alias("total"))
+    grid = per_window.select("window", "m", "total", F.explode_outer(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    in_window, in_bin = Window.partitionBy("window").orderBy("bin"), Window.partitionBy("bin").orderBy("window")  # one row per window and bin
+    shares = grid.select("window", "bin", (F.coalesce(F.col("m")[F.col("bin")], F.lit(0)) / F.col("total")).alias("share"))
+    shares = shares.withColumn("upto", F.sum("share").over(in_window))
+    for name, pick in (("previous", F.lag), ("baseline", F.first)):
+        shares = shares.withColumn(name, F.struct(
+            F.lit(name).alias("compared_with"), pick("share").over(in_bin).alias("share0"), pick("upto").over(in_bin).alias("upto0")))
+    later = shares.withColumn("nth", F.row_number().over(in_bin)).filter("nth > 1")
+    both = later.select("window", "share", "upto", F.explode(F.array("previous", "baseline")).alias("o"))
+    a, e = F.greatest("share", F.lit(SHARE_FLOOR)), F.greatest("o.share0", F.lit(SHARE_FLOOR))
+    return both.groupBy("window", "o.compared_with").agg(
+        F.sum((a - e) * F.log(a / e)).alias("psi"), F.max(F.abs(F.col("upto") - F.col("o.upto0"))).alias("ks"))
+
+
 def chi_square(df: DataFrame, side: Column, category: str) -> DataFrame:
     """Homogeneity test of a category between two sides."""
     counts = df.groupBy(F.col(category).alias("cat")).agg(F.count_if(side == "base").alias("b"), F.count_if(side == "current").alias("c"))
