@@ -348,3 +348,28 @@ def grouped(t):
 
     out = parts.groupBy("o_orderpriority", "o_orderstatus").applyInPandas(merge, "o_orderpriority string, o_orderstatus string, n long, mean double")
     return out.withColumn("mean", half_up(F.col("mean"), 2))
+
+
+@query("udf_05b_monotone_trend", """
+WITH d AS (SELECT event_type, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2),
+ i AS (SELECT event_type, day, n, row_number() OVER (PARTITION BY event_type ORDER BY day) AS i, sum(n) OVER (PARTITION BY event_type ORDER BY day) AS upto FROM d),
+ m AS (SELECT a.event_type, a.i AS first, z.i AS last, (z.upto - a.upto + a.n)::DOUBLE / (z.i - a.i + 1) AS mean FROM i a JOIN i z ON a.event_type = z.event_type AND a.i <= z.i),
+ low AS (SELECT i.event_type, i.i, m.first, min(m.mean) AS least FROM i JOIN m ON m.event_type = i.event_type AND m.first <= i.i AND i.i <= m.last GROUP BY 1, 2, 3)
+SELECT i.event_type, i.day::VARCHAR AS day, i.n, round(max(least), 6) AS trend FROM i JOIN low USING (event_type, i) GROUP BY 1, 2, 3
+""")
+def monotone_trend(t):
+    """The rising curve closest to each event type's daily counts (pooled adjacent violators); a group is one row per day."""
+    daily = t.events.filter("ts IS NOT NULL").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+
+    def rise(pdf):
+        pdf = pdf.sort_values("day")
+        blocks = []
+        for n in pdf["n"].tolist():
+            total, size = n, 1
+            while blocks and blocks[-1][0] * size >= total * blocks[-1][1]:
+                before = blocks.pop()
+                total, size = total + before[0], size + before[1]
+            blocks.append((total, size))
+        return pdf.assign(trend=[total / size for total, size in blocks for _ in range(size)])
+
+    return daily.groupBy("event_type").applyInPandas(rise, "event_type string, day date, n long, trend double").withColumn("trend", F.round("trend", 6))

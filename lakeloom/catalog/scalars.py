@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,6 +205,19 @@ def model_function(t):
     return t.events.select("event_id", half_up(score("value"), 6).alias("score"))
 
 
+@query("udf_04b_trained_model", """
+WITH m AS (SELECT regr_slope(o_totalprice, x) AS slope, regr_intercept(o_totalprice, x) AS intercept FROM (SELECT o_totalprice, date_diff('day', DATE '1992-01-01', o_orderdate::DATE) / 100 AS x FROM orders WHERE o_orderkey % 5 <> 0))
+SELECT o_orderkey, round(intercept + slope * (date_diff('day', DATE '1992-01-01', o_orderdate::DATE) / 100), 3) AS expected, o_orderkey % 5 = 0 AS held_out FROM orders, m
+""")
+def trained_model(t):
+    """A model trained on four fifths of the rows and applied to all as a transformer, without leaving the JVM."""
+    days = F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")) / 100
+    rows = t.orders.select("o_orderkey", "o_totalprice", days.alias("days"), (F.col("o_orderkey") % 5 == 0).alias("held_out"))
+    rows = VectorAssembler(inputCols=["days"], outputCol="features").transform(rows)
+    model = LinearRegression(labelCol="o_totalprice", solver="normal", predictionCol="expected").fit(rows.filter("NOT held_out"))
+    return model.transform(rows).select("o_orderkey", F.round("expected", 3).alias("expected"), "held_out")
+
+
 @query("udf_06_sql_script", """
 SELECT o_orderpriority, count(*) AS n, CASE WHEN (SELECT count(*) FROM orders) = 0 THEN 'empty'
  WHEN (SELECT count(*) FROM orders) < 100 THEN 'low' ELSE 'normal' END AS volume FROM orders GROUP BY 1
