@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import slices, small_batches, text_or_empty
 from lakeloom.plans import durable
 
-SIDE = 32  # classes, and members of each class
+SIDE = 32  # classes, and members of each class, at least
 VOCAB = SIDE * SIDE
 WINDOW = 2
-PAD = VOCAB  # stands before and after a text
+KNOWN = 131_072  # frequent words whose counts travel to the tasks; all others meet theirs in a join
 
 
 @dataclass
 class Net:
-    """Embeddings (VOCAB + 1, E) shared by all places, hidden layer, and a softmax over classes, then over members of the class."""
+    """Embeddings (numbers + 1, E) shared by all places, hidden layer, and a softmax over classes, then over members of the class.
+
+    There are as many classes as members of a class. The last embedding is that of the pad before and after a text.
+    """
 
     embed: np.ndarray
     hidden: np.ndarray
@@ -40,10 +46,15 @@ class Net:
         """Small random weights; the biases are the corpus's own word frequencies, so an untrained net is the unigram model."""
         rng = np.random.default_rng(seed)
         draw = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
-        share = (counts + 0.5).reshape(SIDE, SIDE)
-        return Net(draw(VOCAB + 1, embed, scale=0.3), draw(2 * WINDOW * embed, hidden, scale=0.2), np.zeros(hidden, np.float32),
-                   np.zeros((hidden, SIDE), np.float32), np.log(share.sum(1) / share.sum()).astype(np.float32),
-                   np.zeros((SIDE, hidden, SIDE), np.float32), np.log(share / share.sum(1, keepdims=True)).astype(np.float32))
+        side = math.isqrt(len(counts))
+        share = (counts + 0.5).reshape(side, side)
+        return Net(draw(len(counts) + 1, embed, scale=0.3), draw(2 * WINDOW * embed, hidden, scale=0.2), np.zeros(hidden, np.float32),
+                   np.zeros((hidden, side), np.float32), np.log(share.sum(1) / share.sum()).astype(np.float32),
+                   np.zeros((side, hidden, side), np.float32), np.log(share / share.sum(1, keepdims=True)).astype(np.float32))
+
+    @property
+    def side(self) -> int:
+        return len(self.class_bias)
 
     def parts(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
@@ -64,11 +75,11 @@ class Net:
 
     def log_prob(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | the words on both sides), without looking at the target."""
-        h, cls, member = self.forward(context), target // SIDE, target % SIDE
+        h, cls, member = self.forward(context), target // self.side, target % self.side
         out = _log_softmax(h @ self.classes + self.class_bias)[np.arange(len(h)), cls]
         order = np.argsort(cls, kind="stable")
-        borders = np.searchsorted(cls[order], np.arange(SIDE + 1))
-        for c in range(SIDE):
+        borders = np.searchsorted(cls[order], np.arange(self.side + 1))
+        for c in range(self.side):
             rows = order[borders[c]:borders[c + 1]]
             if len(rows):
                 out[rows] += _log_softmax(h[rows] @ self.members[c] + self.member_bias[c])[np.arange(len(rows)), member[rows]]
@@ -76,14 +87,14 @@ class Net:
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step of gradient descent on the mean of -log P."""
-        n, h, cls, member = len(target), self.forward(context), target // SIDE, target % SIDE
+        n, h, cls, member = len(target), self.forward(context), target // self.side, target % self.side
         top = np.exp(_log_softmax(h @ self.classes + self.class_bias))
         top[np.arange(n), cls] -= 1
         back = top @ self.classes.T
         d_classes, d_class_bias = h.T @ top, top.sum(0)
         order = np.argsort(cls, kind="stable")
-        borders = np.searchsorted(cls[order], np.arange(SIDE + 1))
-        for c in range(SIDE):
+        borders = np.searchsorted(cls[order], np.arange(self.side + 1))
+        for c in range(self.side):
             rows = order[borders[c]:borders[c + 1]]
             if not len(rows):
                 continue
@@ -99,7 +110,7 @@ class Net:
         self.class_bias -= rate / n * d_class_bias
         self.hidden -= rate / n * (x.T @ back)
         self.hidden_bias -= rate / n * back.sum(0)
-        d_embed = np.stack([np.bincount(context.ravel(), d_x[:, j], VOCAB + 1) for j in range(d_x.shape[1])], 1)
+        d_embed = np.stack([np.bincount(context.ravel(), d_x[:, j], len(self.embed)) for j in range(d_x.shape[1])], 1)
         self.embed -= (rate / n * d_embed).astype(np.float32)
 
 
@@ -109,53 +120,78 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def shared_place(word: str) -> int:
-    """The number that a word outside the frequent ones shares with others: a hash that is alike on every machine."""
-    return zlib.crc32(word.encode()) % (VOCAB // 4)
+def side_for(n_words: int) -> int:
+    """Classes for a corpus of ``n_words``: the numbers, their square, grow with the square root of the corpus."""
+    return max(SIDE, math.ceil(n_words**0.25))
 
 
-class Coder:
-    """Words as numbers: frequent ones have their own, which lie after the quarter that hashed ones share."""
+@dataclass
+class Vocabulary:
+    """Words as numbers, sized from the counts of a corpus.
 
-    def __init__(self, frequent: list[str]):
-        self.own = {w: VOCAB // 4 + i for i, w in enumerate(frequent)}
+    The most frequent words have numbers of their own; the first quarter of the numbers is shared by all others, by a hash that is alike
+    on every machine. ``words`` are the most frequent ones (more than have a number) with their counts, ``counts`` are those of the numbers.
+    """
 
-    def of(self, words: list[str]) -> list[int]:
-        own = self.own
-        return [own[w] if w in own else shared_place(w) for w in words]
+    words: list[str]
+    n: np.ndarray
+    counts: np.ndarray
+
+    def __post_init__(self):
+        self.shared = len(self.counts) // 4
+        own = len(self.counts) - self.shared
+        self.row = {w: i for i, w in enumerate(self.words)}
+        rest = np.array([self.place(w) for w in self.words[own:]], np.int32)
+        self.code = np.concatenate([self.shared + np.arange(min(own, len(self.words)), dtype=np.int32), rest])
+        # log P(word | number): n of a shared number's total + 1; that 1 is the mass of words that the corpus lacks
+        self.inside = np.zeros(len(self.words))
+        self.inside[own:] = np.log(self.n[own:]) + self.unseen(rest)
+
+    def place(self, word: str) -> int:
+        return zlib.crc32(word.encode()) % self.shared
+
+    def unseen(self, code: np.ndarray) -> np.ndarray:
+        return -np.log(self.counts[code] + 1)
+
+    def codes(self, texts: list[str]) -> Places:
+        split = [text.split() for text in texts]
+        n = np.array([len(w) for w in split], np.int64)
+        flat = [w for words in split for w in words]
+        row = np.fromiter(map(self.row.get, flat, repeat(-1)), np.int32, len(flat))
+        other = np.flatnonzero(row < 0)
+        code = np.append(self.code, np.int32(0))[row]
+        code[other] = [self.place(flat[i]) for i in other]
+        inside = np.append(self.inside, 0.0)[row]
+        inside[other] = self.unseen(code[other])
+        text = np.repeat(np.arange(len(texts)), n)
+        at = np.arange(len(flat)) + WINDOW * (1 + text)
+        laid = np.full(len(flat) + WINDOW * (1 + len(texts)), len(self.counts), np.int32)
+        laid[at] = code
+        return Places(laid, at, n, inside, text[other], [flat[i] for i in other])
 
-    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers with WINDOW pads before, between and after the texts, words per text)."""
-        out, n = [PAD] * WINDOW, []
-        for text in texts:
-            words = text.split()
-            out += self.of(words)
-            out += [PAD] * WINDOW
-            n.append(len(words))
-        return np.array(out, np.int32), np.array(n, np.int64)
 
-    def thinned(self, texts: list[str], every: int) -> tuple[np.ndarray, np.ndarray]:
-        """(contexts, targets) at every ``every``-th place of the texts laid end to end."""
-        out, at = [], 0
-        for text in texts:
-            words = text.split()
-            for i in range(-at % every, len(words), every):
-                left, right = words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW]
-                out.append([PAD] * (WINDOW - len(left)) + self.of(left) + self.of(right) + [PAD] * (WINDOW - len(right)) + self.of([words[i]]))
-            at += len(words)
-        rows = np.array(out, np.int32).reshape(-1, 2 * WINDOW + 1)
-        return rows[:, :-1], rows[:, -1]
+@dataclass
+class Places:
+    """Texts as numbers with pads before, between and after them: where the words stand, words per text, log P(word | number) of each
+    word without what the whole count table adds, and the words that are to meet that table, with their texts."""
 
+    laid: np.ndarray
+    at: np.ndarray
+    n: np.ndarray
+    inside: np.ndarray
+    text: np.ndarray
+    other: list[str]
 
-def _contexts(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.stack([codes[at + d] for d in (*range(-WINDOW, 0), *range(1, WINDOW + 1))], 1)
+    def rows(self, some: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+        """(contexts, targets)"""
+        at = self.at[some]
+        return np.stack([self.laid[at + d] for d in (*range(-WINDOW, 0), *range(1, WINDOW + 1))], 1), self.laid[at]
 
 
-def vocabulary(docs: DataFrame) -> tuple[Coder, list[str], np.ndarray]:
-    """The most frequent words of all documents and how often each number occurs, from counts over the whole table.
+def vocabulary(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary of all documents and the whole count table (word, n), from counts over the whole table.
 
-    ``docs``: (text). Counts are summed per task, then by word over the cluster; the driver gets the 3/4 of the numbers that words own
-    and one sum per shared number.
+    ``docs``: (text). Counts are summed per task, then by word over the cluster; the driver gets the frequent words and one sum per shared number.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,46 +204,47 @@ def vocabulary(docs: DataFrame) -> tuple[Coder, list[str], np.ndarray]:
                 held = Counter()
         yield _counted(held)
 
-    words = durable.cut(docs.select("text").mapInArrow(count, "word string, place int, n long").groupBy("word", "place").agg(F.sum("n").alias("n")),
-                        "words")
-    frequent = words.orderBy(F.desc("n"), "word").limit(VOCAB - VOCAB // 4).toPandas()
-    places = words.groupBy("place").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(VOCAB)
+    words = durable.cut(docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    side = side_for(words.agg(F.sum("n")).first()[0] or 0)
+    shared, own = side * side // 4, side * side - side * side // 4
+    frequent = words.orderBy(F.desc("n"), "word").limit(max(KNOWN, own)).toPandas()
+    places = words.groupBy((F.crc32("word") % shared).alias("place")).agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(side * side)
     counts[places["place"].astype(int)] = places["n"]
-    np.subtract.at(counts, frequent["place"].to_numpy(np.int64), frequent["n"].to_numpy(np.float64))
-    counts[VOCAB // 4:VOCAB // 4 + len(frequent)] = frequent["n"]
-    return Coder(frequent["word"].tolist()), frequent["word"].tolist(), counts
+    most = frequent["word"].tolist(), frequent["n"].to_numpy(np.float64)
+    np.subtract.at(counts, [zlib.crc32(w.encode()) % shared for w in most[0][:own]], most[1][:own])
+    counts[shared:shared + len(most[0][:own])] = most[1][:own]
+    return Vocabulary(*most, counts), words
 
 
 def _counted(held: Counter[str]) -> pa.RecordBatch:
-    words = list(held)
-    return pa.RecordBatch.from_arrays([
-        pa.array(words, pa.string()), pa.array(list(map(shared_place, words)), pa.int32()),
-        pa.array(list(held.values()), pa.int64())], ["word", "place", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
 
-def fit(docs: DataFrame, every: int = 32, rounds: int = 1, batch: int = 512, rate: float = 1.0) -> tuple[list[str], Net]:
-    """The frequent words and a net that all documents have trained.
+def fit(docs: DataFrame, every: int = 32, rounds: int = 1, batch: int = 512, rate: float = 1.0) -> tuple[Vocabulary, DataFrame, Net]:
+    """The vocabulary, the count table and a net that all documents have trained.
 
     Each task takes the net of the round, goes over its own documents in steps of gradient descent, and gives its weights; the next net is their
-    mean, weighted by the words each task learned from and summed by Spark. Word frequencies come from every word. Steps use the
-    words at every ``every``-th place of every text, a documented thinning that is the same at every size.
+    mean, weighted by the words each task learned from and summed by Spark. Word frequencies come from every word. Steps use
+    every ``every``-th place of the texts laid end to end, a documented thinning that is the same at every size.
     """
     docs = docs.select(text_or_empty().alias("text"))
-    _, frequent, counts = vocabulary(docs)
-    net = Net.start(counts)
+    vocab, counted = vocabulary(docs)
+    net = Net.start(vocab.counts)
     for _ in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((frequent, net.flat()))
+        shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, flat = shared.value
-            own, coder, used = Net.start(np.ones(VOCAB)).with_flat(flat), Coder(words), 0
+            known, start = shared.value
+            own, used = start.with_flat(start.flat()), 0
             for part in small_batches(batches):
-                context, target = coder.thinned(part.column("text").to_pylist(), every)
-                order = np.random.default_rng(len(target)).permutation(len(target))
-                for i in range(0, len(order), batch):
-                    own.step(context[order[i:i + batch]], target[order[i:i + batch]], rate)
-                used += len(order)
+                texts = part.column("text").to_pylist()
+                for a, b in slices(texts, 1_000_000):
+                    places = known.codes(texts[a:b])
+                    order = np.random.default_rng(len(places.at)).permutation(np.arange(0, len(places.at), every))
+                    for i in range(0, len(order), batch):
+                        own.step(*places.rows(order[i:i + batch]), rate)
+                    used += len(order)
             if used:
                 values = own.flat().astype(np.float64)
                 for k in range(0, len(values), 4096):
@@ -221,38 +258,49 @@ def fit(docs: DataFrame, every: int = 32, rounds: int = 1, batch: int = 512, rat
             flat = np.zeros(len(net.flat()))
             flat[sums["i"]] = sums["value"]
             net = net.with_flat(flat)
-    return frequent, net
+    return vocab, counted, net
 
 
-def pseudo_likelihood(docs: DataFrame, **options) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, train: DataFrame | None = None, **options) -> DataFrame:
     """doc_id, n_words, log_likelihood (sum over all words of log P(word | two words on either side)) and per_word (its mean) of every whole text.
 
-    Words are what white space separates. The most frequent ones are predicted as themselves, any other
-    as one of a fixed number of hashed groups; both are learned from all documents. Null and empty texts have no word, a sum of
+    Words are what white space separates. The net predicts the number of a word, learned from all documents (those of ``train``, if given);
+    frequent words have one of their own. For the others log P(word | number) is added, from the counts of all words, which meet the texts in a
+    join. A word that the learned documents lack has the mass 1 / (total of its number + 1). Null and empty texts have no word, a sum of
     0 and a null mean. Every row gives one row, whether doc_id is null or repeated; an empty table gives an empty result. Other columns are not read.
     """
-    frequent, net = fit(docs, **options)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, net))
+    vocab, counted, net = fit(docs if train is None else train, **options)
+    shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
-        coder = Coder(words)
+        known, model = shared.value
+        row = TaskContext.get().partitionId() << 33
         for batch in small_batches(batches):
-            texts, totals, sizes = batch.column("text").to_pylist(), [], []
+            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
             for a, b in slices(texts, 1_000_000):
-                codes, n = coder.codes(texts[a:b])
-                at = np.flatnonzero(codes != PAD)
-                each = np.empty(len(at), np.float64)
-                for i in range(0, len(at), 32_768):
-                    each[i:i + 32_768] = model.log_prob(_contexts(codes, at[i:i + 32_768]), codes[at[i:i + 32_768]])
-                sums = np.concatenate([[0.0], np.cumsum(each)])
-                ends = np.cumsum(n)
-                totals.append(sums[ends] - sums[ends - n])
-                sizes.append(n)
-            total, n = np.concatenate(totals), np.concatenate(sizes)
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(total), mean],
-                                             ["doc_id", "n_words", "log_likelihood", "per_word"])
-
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, log_likelihood double, per_word double")
+                places = known.codes(texts[a:b])
+                each = places.inside
+                for i in range(0, len(each), 32_768):
+                    each[i:i + 32_768] += model.log_prob(*places.rows(slice(i, i + 32_768)))
+                sums, ends = np.concatenate([[0.0], np.cumsum(each)]), np.cumsum(places.n)
+                rows = np.arange(row, row + b - a)
+                # the row of a text carries a word that no text has, so that these rows spread too
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rows), ids.slice(a, b - a), pa.array(places.n), pa.array(sums[ends] - sums[ends - places.n]),
+                    pa.array([f" {r}" for r in rows])], FIELDS)
+                for i in range(0, len(places.other), 32_768):
+                    some = places.other[i:i + 32_768]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(rows[places.text[i:i + 32_768]]), *[pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.float64())],
+                        pa.array(some, pa.string())], FIELDS)
+                row += b - a
+
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    scored = texts.mapInArrow(run, "row long, doc_id long, n_words long, value double, word string")
+    joined = scored.join(counted.filter("n > 1"), "word", "left").groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+        (F.sum("value") + F.coalesce(F.sum(F.log("n")), F.lit(0.0))).alias("log_likelihood"))
+    return joined.select("doc_id", "n_words", "log_likelihood", F.try_divide("log_likelihood", F.nullif("n_words", F.lit(0))).alias("per_word"))
+
+
+FIELDS = ["row", "doc_id", "n_words", "value", "word"]

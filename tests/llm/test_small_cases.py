@@ -299,3 +299,24 @@ def test_pipeline_stages(spark, docs, sf_dir):
         out = stage(spark, at, sf_dir)
         assert out.schema.simpleString() == at.schema.simpleString(), name
     assert set(queries.QUERIES) >= {n for n in queries.SQL}
+
+
+def test_every_word_has_its_own_likelihood(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    rare = [word() for _ in range(3000)]
+    texts = [" ".join(f"{rng.choice('the of and to in'.split())} {w}" for w in rare[i:i + 30]) for i in range(0, 3000, 30)]
+    seen = rare[0]
+    unseen = next(w for w in iter(word, None) if w not in rare and zlib.crc32(w.encode()) % 256 == zlib.crc32(seen.encode()) % 256)
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts + [f"the {seen}"] * 20 + [" ".join(f"w{k}" for k in range(900))] * 40)],
+                                  "doc_id long, text string")
+    assert all(len(masked_scorer.Vocabulary([], np.zeros(0), np.zeros(masked_scorer.side_for(n) ** 2)).counts) == side * side
+               for n, side in ((0, 32), (1_000_000, 32), (4_013_836, 45), (135_268_718, 108)))
+    asked = spark.createDataFrame([(0, f"the {seen}"), (1, f"the {unseen}"), (2, f"the {unseen}"), (None, "")], "doc_id long, text string")
+    for known in (masked_scorer.KNOWN, 1):  # counts from the broadcast, and from the join
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(masked_scorer, "KNOWN", known)
+            got = {r["doc_id"]: r for r in masked_scorer.pseudo_likelihood(asked, train).collect()}
+        assert len(got) == 4 and got[None]["n_words"] == 0 and got[None]["per_word"] is None
+        assert abs(got[0]["log_likelihood"] - got[1]["log_likelihood"] - np.log(21)) < 1e-4
+        assert got[1]["log_likelihood"] == got[2]["log_likelihood"]
