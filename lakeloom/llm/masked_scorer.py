@@ -86,9 +86,13 @@ class Net:
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One step of gradient descent on the mean of -log P."""
+        """One step of gradient descent on the mean of -log P.
+
+        What only some rows of the batch reach (the members of a class, the embedding of a word) moves by their sum over the
+        geometric mean of their number and the batch's, else rare words would hardly learn in large batches.
+        """
         n, h, cls, member = len(target), self.forward(context), target // self.side, target % self.side
-        top = np.exp(_log_softmax(h @ self.classes + self.class_bias))
+        top = _softmax(h @ self.classes + self.class_bias)
         top[np.arange(n), cls] -= 1
         back = top @ self.classes.T
         d_classes, d_class_bias = h.T @ top, top.sum(0)
@@ -98,11 +102,12 @@ class Net:
             rows = order[borders[c]:borders[c + 1]]
             if not len(rows):
                 continue
-            low = np.exp(_log_softmax(h[rows] @ self.members[c] + self.member_bias[c]))
+            low = _softmax(h[rows] @ self.members[c] + self.member_bias[c])
             low[np.arange(len(rows)), member[rows]] -= 1
             back[rows] += low @ self.members[c].T
-            self.members[c] -= rate / n * (h[rows].T @ low)
-            self.member_bias[c] -= rate / n * low.sum(0)
+            own = rate / math.sqrt(n * len(rows))
+            self.members[c] -= own * (h[rows].T @ low)
+            self.member_bias[c] -= own * low.sum(0)
         back *= 1 - h * h
         x = self.embed[context].reshape(n, -1)
         d_x = (back @ self.hidden.T).reshape(-1, self.embed.shape[1])
@@ -110,8 +115,10 @@ class Net:
         self.class_bias -= rate / n * d_class_bias
         self.hidden -= rate / n * (x.T @ back)
         self.hidden_bias -= rate / n * back.sum(0)
-        d_embed = np.stack([np.bincount(context.ravel(), d_x[:, j], len(self.embed)) for j in range(d_x.shape[1])], 1)
-        self.embed -= (rate / n * d_embed).astype(np.float32)
+        flat = context.ravel()
+        seen = np.maximum(np.bincount(flat, minlength=len(self.embed)), 1)
+        d_embed = np.stack([np.bincount(flat, d_x[:, j], len(self.embed)) for j in range(d_x.shape[1])], 1)
+        self.embed -= (rate / np.sqrt(n * seen)[:, None] * d_embed).astype(np.float32)
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -120,6 +127,13 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
 def side_for(n_words: int) -> int:
     """Classes for a corpus of ``n_words``: the numbers, their square, grow with the square root of the corpus."""
     return max(SIDE, math.ceil(n_words**0.25))
@@ -221,12 +235,12 @@ def _counted(held: Counter[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
 
-def fit(docs: DataFrame, every: int = 32, rounds: int = 1, batch: int = 512, rate: float = 1.0) -> tuple[Vocabulary, DataFrame, Net]:
+def fit(docs: DataFrame, rounds: int = 1, batch: int = 2048, rate: float = 1.0) -> tuple[Vocabulary, DataFrame, Net]:
     """The vocabulary, the count table and a net that all documents have trained.
 
     Each task takes the net of the round, goes over its own documents in steps of gradient descent, and gives its weights; the next net is their
-    mean, weighted by the words each task learned from and summed by Spark. Word frequencies come from every word. Steps use
-    every ``every``-th place of the texts laid end to end, a documented thinning that is the same at every size.
+    mean, weighted by the words each task learned from and summed by Spark. Every place of every text is learned from, once a round;
+    without a round the net is the unigram model.
     """
     docs = docs.select(text_or_empty().alias("text"))
     vocab, counted = vocabulary(docs)
@@ -241,7 +255,7 @@ def fit(docs: DataFrame, every: int = 32, rounds: int = 1, batch: int = 512, rat
                 texts = part.column("text").to_pylist()
                 for a, b in slices(texts, 1_000_000):
                     places = known.codes(texts[a:b])
-                    order = np.random.default_rng(len(places.at)).permutation(np.arange(0, len(places.at), every))
+                    order = np.random.default_rng(len(places.at)).permutation(len(places.at))
                     for i in range(0, len(order), batch):
                         own.step(*places.rows(order[i:i + batch]), rate)
                     used += len(order)

@@ -320,3 +320,22 @@ def test_every_word_has_its_own_likelihood(spark):
         assert len(got) == 4 and got[None]["n_words"] == 0 and got[None]["per_word"] is None
         assert abs(got[0]["log_likelihood"] - got[1]["log_likelihood"] - np.log(21)) < 1e-4
         assert got[1]["log_likelihood"] == got[2]["log_likelihood"]
+
+
+def test_network_beats_word_frequencies_on_held_out_texts(spark, sf_dir):
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    held, rest = texts.filter("doc_id % 5 = 0"), texts.filter("doc_id % 5 <> 0")
+    mean = {}
+    for rounds in (0, 4):  # this table gives a round only 28 steps
+        r = masked_scorer.pseudo_likelihood(held, rest, rounds=rounds).agg(F.sum("log_likelihood"), F.sum("n_words")).first()
+        mean[rounds] = r[0] / r[1]
+    assert mean[4] > mean[0] + 0.02, mean
+
+
+def test_every_text_is_learned_from(spark):
+    for n_words in (1, 3, 31):  # a text shorter than any thinning
+        docs = spark.createDataFrame([(0, " ".join(f"w{i}" for i in range(n_words)))], "doc_id long, text string")
+        vocab, _, net = masked_scorer.fit(docs)
+        start = masked_scorer.Net.start(vocab.counts)
+        code = vocab.codes([docs.first()["text"]]).rows(slice(None))
+        assert net.log_prob(*code).mean() > start.log_prob(*code).mean()
