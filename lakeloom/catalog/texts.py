@@ -13,7 +13,7 @@ from lakeloom.operators import chunking as K
 from lakeloom.operators import dedup as D
 from lakeloom.operators import monitoring as N
 from lakeloom.operators import retrieval as R
-from lakeloom.plans import ordered
+from lakeloom.plans import ordered, skew
 from lakeloom.registry import query
 
 TOK = f"list_filter(regexp_split_to_array(lower(text), '{X.WORD}'), lambda w: w <> '')"
@@ -173,9 +173,10 @@ def filtered_search(t):
 TEXT_QUERIES = {0: "the table and thing", 1: "oning erthe ti", 2: "la des est", 3: "der die und"}
 
 
-def _bm25(k: int) -> str:
+def _bm25(k: int, asked: str = "") -> str:
     terms = ", ".join(f"({q}, '{w}')" for q, s in TEXT_QUERIES.items() for w in sorted(set(s.split())))
-    return f"""tk AS (SELECT doc_id, {TOK} AS w FROM documents), st AS (SELECT count(*) AS n, avg(len(w)) AS avgdl FROM tk), qt AS (FROM (VALUES {terms}) x(query_id, term)),
+    asked = asked or f"FROM (VALUES {terms}) x(query_id, term)"
+    return f"""tk AS (SELECT doc_id, {TOK} AS w FROM documents), st AS (SELECT count(*) AS n, avg(len(w)) AS avgdl FROM tk), qt AS ({asked}),
  tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS dl, unnest(w) AS term FROM tk) WHERE term IN (SELECT term FROM qt) GROUP BY 1, 2, 3),
  df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
  sc AS (SELECT query_id::BIGINT AS query_id, doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl)))), 9) AS score
@@ -222,6 +223,40 @@ def weighted(t):
     return R.weighted_fusion([(v, 0.6), (b, 0.4)], "doc_id", 10).withColumn("score", F.round("score", 6))
 
 
+FIRST_WORDS = f"SELECT query_id, unnest(list_distinct(({TOK})[1:8])) AS term FROM (SELECT label::BIGINT AS query_id, min(vec_id) AS doc_id FROM embeddings GROUP BY 1) JOIN documents USING (doc_id)"
+HYBRID_ALL = f"{VQ}, {_vsearch(20)}, {_bm25(20, FIRST_WORDS)}"
+
+
+def _hybrid_all(t, k):
+    """Every vector query; its text query is the first eight words of the document that its vector belongs to."""
+    firsts = t.embeddings.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(F.min("vec_id").alias("doc_id"))
+    asked = t.documents.join(skew.checked_broadcast(firsts), "doc_id").select("query_id", F.slice(X.tokens(F.col("text")), 1, 8).alias("words"))
+    terms = asked.select("query_id", F.explode(F.array_distinct("words")).alias("term"))
+    vectors = R.vector_top_k(t.embeddings, _vector_queries(t), "vec_id", "embedding", k).withColumnRenamed("vec_id", "doc_id")
+    return vectors, R.bm25_of_terms(t.spread("documents", "doc_id"), terms, "doc_id", "text", k)
+
+
+@query("txt_14b_rank_fusion_of_all_queries", f"""
+WITH {HYBRID_ALL}, u AS (SELECT query_id, vec_id AS doc_id, 0.5::DOUBLE / (60 + rank) AS s FROM v UNION ALL SELECT query_id, doc_id, 0.5::DOUBLE / (60 + rank) FROM bm),
+ f AS (SELECT query_id, doc_id, round(sum(s), 12) AS score FROM u GROUP BY 1, 2)
+SELECT query_id, doc_id, round(score, 8) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f QUALIFY rank <= 10
+""")
+def rrf_all(t):
+    v, b = _hybrid_all(t, 20)
+    return R.reciprocal_rank_fusion([(v, 0.5), (b, 0.5)], "doc_id", 10).withColumn("score", F.round("score", 8))
+
+
+@query("txt_15b_weighted_fusion_of_all_queries", f"""
+WITH {HYBRID_ALL}, a AS (SELECT query_id, vec_id AS doc_id, coalesce((score - min(score) OVER w) / nullif(max(score) OVER w - min(score) OVER w, 0), 1) * 0.6::DOUBLE AS s FROM v WINDOW w AS (PARTITION BY query_id)),
+ b AS (SELECT query_id, doc_id, coalesce((score - min(score) OVER w) / nullif(max(score) OVER w - min(score) OVER w, 0), 1) * 0.4::DOUBLE AS s FROM bm WINDOW w AS (PARTITION BY query_id)),
+ f AS (SELECT query_id, doc_id, round(sum(s), 9) AS score FROM (FROM a UNION ALL FROM b) GROUP BY 1, 2)
+SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f QUALIFY rank <= 10
+""")
+def weighted_all(t):
+    v, b = _hybrid_all(t, 20)
+    return R.weighted_fusion([(v, 0.6), (b, 0.4)], "doc_id", 10).withColumn("score", F.round("score", 6))
+
+
 @query("txt_16_recency", """
 WITH d AS (SELECT doc_id, (doc_id * 37) % 365 AS age FROM documents) SELECT doc_id, (DATE '2024-12-31' - age::INT)::DATE::VARCHAR AS updated_at, round(exp(-age / 90.0::DOUBLE), 6) AS weight FROM d WHERE age <= 180
 """)

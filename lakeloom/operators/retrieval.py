@@ -67,6 +67,20 @@ def bm25_top_k(docs: DataFrame, queries: dict[int, str], key: str, text: str, k:
     return skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
 
 
+def bm25_of_terms(docs: DataFrame, asked: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """BM25 top-k per query, for queries in a table (query_id, term); a term counts once a query."""
+    asked = asked.distinct()
+    size = docs.select(F.size(tokens(F.col(text))).alias("n")).agg(F.count("*").alias("docs"), F.avg("n").alias("avgdl"))
+    n_docs, avgdl = size.select("docs").scalar(), size.select("avgdl").scalar()
+    words = docs.select(key, tokens(F.col(text)).alias("__t")).select(key, F.size("__t").alias("dl"), F.explode_outer("__t").alias("term"))
+    tf = words.join(skew.checked_broadcast(asked.select("term").distinct()), "term").groupBy(key, "dl", "term").agg(F.count("*").alias("tf"))
+    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    sat = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
+    scored = tf.join(df, "term").join(asked, "term").groupBy("query_id", key).agg(F.round(F.sum(idf * sat), 9).alias("score"))
+    return skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
+
+
 def reciprocal_rank_fusion(lists: Sequence[tuple[DataFrame, float]], key: str, k: int) -> DataFrame:
     """Sum of weight / (60 + rank) over ranked lists (query_id, key, rank)."""
     parts = [df.select("query_id", key, (F.lit(w) / (RRF_CONSTANT + F.col("rank"))).alias("__s")) for df, w in lists]

@@ -131,3 +131,14 @@ def test_titles_and_page_marks(spark):
         "id", X.title(F.col("text")).alias("title"), X.clean(F.col("text")).alias("clean")).orderBy("id").collect()
     assert [r.title for r in got] == ["First heading", "#no heading", "", "a"]
     assert got[3].clean == "a\n\nb"
+
+
+def test_every_vector_query_is_fused(t):
+    from lakeloom.catalog import texts
+
+    labels = {r.label for r in t.embeddings.select("label").distinct().collect()}
+    for run in (texts.rrf_all, texts.weighted_all):
+        got = run(t).collect()
+        assert {r.query_id for r in got} == labels and len(got) == 10 * len(labels)
+    asked = {r.query_id for r in texts._hybrid_all(t, 20)[1].select("query_id").distinct().collect()}
+    assert asked == labels
