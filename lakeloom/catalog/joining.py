@@ -263,7 +263,8 @@ GROUP BY ALL
 def star_by_fiscal_quarter(t):
     """Revenue of business days by region and fiscal quarter, both read from the date dimension (a row per day)."""
     day = F.to_date("o_orderdate")
-    days = joins.calendar("1992-01-01", "2005-12-31", t.spark, HOLIDAYS).filter("is_business_day").select("date", "fiscal_year", "fiscal_quarter")
+    first, last = (t.orders.agg(f(day)).scalar() for f in (F.min, F.max))
+    days = joins.calendar(first, last, t.spark, HOLIDAYS).filter("is_business_day").select("date", "fiscal_year", "fiscal_quarter")
     return _star(t).withColumn("order_day", day).join(days, F.col("order_day") == F.col("date")).groupBy("r_name", "fiscal_year", "fiscal_quarter").agg(
         F.round(F.sum(revenue()), 2).alias("revenue"), F.count("*").alias("lines"))
 

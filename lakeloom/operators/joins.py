@@ -78,8 +78,8 @@ def full_join_on(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(keys), "full"), frames)
 
 
-def calendar(first: str, last: str, spark, holidays: Mapping[str, str] | None = None, fiscal_start: int = 4) -> DataFrame:
-    """Date dimension between two ISO dates, both included.
+def calendar(first: str | Column, last: str | Column, spark, holidays: Mapping[str, str] | None = None, fiscal_start: int = 4) -> DataFrame:
+    """Date dimension between two dates (ISO text or scalar subqueries), both included.
 
     ``holidays`` names fixed days of the year by "MM-dd". The fiscal year starts with the month ``fiscal_start`` and has the number of the
     year it starts in. Business days are neither at a weekend nor a holiday.

@@ -60,3 +60,18 @@ def test_broadcast_only_when_small(t):
     hinted = skew.checked_broadcast(t.region)._jdf.queryExecution().logical().toString()
     plain = skew.checked_broadcast(t.lineitem, 1000)._jdf.queryExecution().logical().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_star_keeps_order_lines_of_any_year(t):
+    from types import SimpleNamespace
+
+    from lakeloom.catalog import joining
+
+    tables = {n: getattr(t, n) for n in ("spark", "nation", "region", "lineitem", "customer", "part")}
+    for months in (-360, 360):
+        orders = t.orders.withColumn("o_orderdate", F.add_months("o_orderdate", months))
+        moved = SimpleNamespace(orders=orders, **tables)
+        day = F.col("o_orderdate")
+        business = ~F.dayofweek(day).isin(1, 7) & ~F.date_format(day, "MM-dd").isin(*joining.HOLIDAYS)
+        want = joining._star(moved).filter(business).count()
+        assert want > 0 and joining.star_by_fiscal_quarter(moved).agg(F.sum("lines")).first()[0] == want
