@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -34,6 +35,23 @@ def depth_for(threshold: float, target: float) -> int:
     return depth
 
 
+def least_equal(threshold: float, target: float, depth: int) -> int:
+    """How many of the hashes two texts have to share, half of them at most.
+
+    Falling short of it and meeting in no trie together happen to a pair at the threshold with probability 1 - ``target`` at most.
+    """
+    missed = (1 - threshold**depth) ** TRIES
+    if missed > 1 - target:
+        raise ValueError(f"{TRIES} tries find pairs of similarity {threshold} with probability {1 - missed:.6f}, under {target}")
+    hashes, least = TRIES * depth, 0
+    while least < hashes / 2:
+        missed += math.comb(hashes, least) * threshold**least * (1 - threshold) ** (hashes - least)
+        if missed > 1 - target:
+            break
+        least += 1
+    return least
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -89,10 +107,10 @@ def signatures(docs: DataFrame, width: int, depth: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, s1 long, s2 long, n long, sig binary")
 
 
-def candidates(nodes: DataFrame, depth: int, least_share: float = 0.5) -> DataFrame:
-    """(a, b): links that hold together all texts which share a trie prefix and at least ``least_share`` of all hashes.
+def candidates(nodes: DataFrame, depth: int, least: int) -> DataFrame:
+    """(a, b): links that hold together all texts which share a trie prefix and at least ``least`` of all hashes.
 
-    ``least_share`` lies so far below the threshold that a true pair practically never falls short of it; it keeps texts that merely share a
+    ``least`` follows from the threshold (``least_equal``), so that a true pair practically never falls short of it; it keeps texts that merely share a
     passage from growing into one group. Each group of one prefix gives one link per text and not one per pair.
     """
     width = 4 * depth
@@ -111,7 +129,7 @@ def candidates(nodes: DataFrame, depth: int, least_share: float = 0.5) -> DataFr
         for column in sig.T:
             same += column[:, None] == column[None, :]
         order = np.argsort(rep, kind="stable")
-        root, _ = first_connected((same >= least_share * sig.shape[1])[np.ix_(order, order)])
+        root, _ = first_connected((same >= least)[np.ix_(order, order)])
         rep = rep[order]
         far = root != np.arange(len(rep))
         return pa.RecordBatch.from_arrays([pa.array(rep[root[far]]), pa.array(rep[far])], ["a", "b"]) if far.any() else None
@@ -123,15 +141,16 @@ def similar(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: flo
     """doc_id, class_id, n_links: all texts whose sets of ``width``-word shingles have a Jaccard similarity of ``threshold`` or more.
 
     n_links counts the other documents that a text is linked with, exact copies included; class_id is the smallest doc_id that it is connected to by
-    links. Words are what white space separates. Texts with equal shingle sets are one node with a number of copies. Nodes that share a trie
+    links. A threshold for which the tries cannot hold ``target`` is refused. Words are what white space separates. Texts with equal shingle sets are one node with a number of copies. Nodes that share a trie
     prefix become candidates, and each group of connected candidates is compared pair by pair on its whole shingle sets, large
-    groups in blocks; only counts and one link per text leave a task. A link is missed only if no trie proposes it, or a
-    chain of proposals, which at the threshold happens to a pair with probability 1 - ``target``.
+    groups in blocks; only counts and one link per text leave a task. A link is missed only if no trie proposes it, it falls
+    short of ``least_equal``, or a chain of proposals does, which at the threshold happens to a pair with probability 1 - ``target``.
 
     Texts without words (null, empty, blank) are linked to nothing and are classes of their own. Rows with a null doc_id take no part and get a
     null class and 0 links. Of equal rows each is returned and they count as one document. An empty table gives an empty result.
     """
     depth = depth_for(threshold, target)
+    least = least_equal(threshold, target, depth)
     rows = durable.cut(signatures(docs, width, depth), "signatures")
     known = rows.filter("doc_id IS NOT NULL AND n > 0")
     nodes = known.groupBy("s1", "s2", "doc_id").agg(F.first("n").alias("n"), F.first("sig").alias("sig")).groupBy("s1", "s2").agg(
@@ -140,7 +159,7 @@ def similar(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: flo
         "rep.rep", "s1", "s2", "copies", "sig"), "nodes")
     node = F.xxhash64("rep", "s1", "s2")
     named = nodes.select(node.alias("rep"), "sig")
-    groups = durable.cut(components(candidates(named, depth)), "groups")
+    groups = durable.cut(components(candidates(named, depth, least)), "groups")
     sizes = groups.groupBy("root").agg(F.count("*").alias("m"))
     member = nodes.select("rep", "s1", "s2", "copies", node.alias("node")).join(groups.join(sizes, "root"), "node")
 

@@ -339,3 +339,16 @@ def test_every_text_is_learned_from(spark):
         start = masked_scorer.Net.start(vocab.counts)
         code = vocab.codes([docs.first()["text"]]).rows(slice(None))
         assert net.log_prob(*code).mean() > start.log_prob(*code).mean()
+
+
+def test_a_pair_at_any_threshold_is_missed_as_rarely_as_promised():
+    from math import comb
+
+    for threshold in (0.44, 0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.99):
+        depth = shingle_forest.depth_for(threshold, 0.9999)
+        least, n = shingle_forest.least_equal(threshold, 0.9999, depth), shingle_forest.TRIES * depth
+        short = sum(comb(n, k) * threshold**k * (1 - threshold) ** (n - k) for k in range(least))
+        assert (1 - threshold**depth) ** shingle_forest.TRIES + short <= 1e-4
+    assert shingle_forest.least_equal(0.8, 0.9999, 3) == 24  # half of the hashes, as registered
+    with pytest.raises(ValueError):
+        shingle_forest.least_equal(0.4, 0.9999, 1)
