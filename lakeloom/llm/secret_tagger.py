@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import slices, small_batches, text_or_empty
+from lakeloom.plans import skew
 
 # The fixed patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -211,10 +212,11 @@ def train(rows: np.ndarray, tags: np.ndarray, epochs: int = 40, rate: float = 0.
 def fit(docs: DataFrame, most_documents: int = 20_000, most_windows: int = 3_000) -> Field:
     """A field trained on windows around the fixed patterns' matches, and around one other word, of about ``most_documents`` texts.
 
-    The texts are picked by a hash; both bounds are parameters and do not grow with the table.
+    Distinct texts are picked by a hash, equal windows count once, and windows with and without a secret get half of ``most_windows`` each,
+    or what the other half leaves; both bounds are parameters and do not grow with the table.
     """
     docs = docs.select(text_or_empty().alias("text"))
-    n = docs.count()
+    n = docs.select(F.xxhash64("text")).distinct().count()
     picked = F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(2**31)) < int(min(1.0, most_documents / max(n, 1)) * 2**31)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,8 +246,12 @@ def fit(docs: DataFrame, most_documents: int = 20_000, most_windows: int = 3_000
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(tags, pa.binary()), pa.array(secret, pa.bool_()),
                                               pa.array(key, pa.int64())], ["rows", "tags", "secret", "key"])
 
-    found = docs.filter(picked).mapInArrow(windows, "rows binary, tags binary, secret boolean, key long")
-    got = found.orderBy(F.desc("secret"), "key", "rows").limit(most_windows).collect()
+    found = docs.filter(picked).dropDuplicates(["text"]).mapInArrow(windows, "rows binary, tags binary, secret boolean, key long")
+    order = [F.asc(c) for c in ("key", "rows", "tags")]
+    kept = skew.top_per_key(found.dropDuplicates(["rows", "tags"]), ["secret"], order, most_windows, "place").collect()
+    clean, secret = (sorted((r for r in kept if r["secret"] == s), key=lambda r: r["place"]) for s in (False, True))
+    got = secret[:max(most_windows // 2, most_windows - len(clean))]
+    got += clean[:most_windows - len(got)]
     width = 2 * REACH + 1
     rows = np.frombuffer(b"".join(r["rows"] for r in got), np.int32).reshape(-1, width, len(SIZES)).astype(np.int64)
     return train(rows, np.frombuffer(b"".join(r["tags"] for r in got), np.int8).reshape(-1, width).astype(np.int64))

@@ -352,3 +352,17 @@ def test_a_pair_at_any_threshold_is_missed_as_rarely_as_promised():
     assert shingle_forest.least_equal(0.8, 0.9999, 3) == 24  # half of the hashes, as registered
     with pytest.raises(ValueError):
         shingle_forest.least_equal(0.4, 0.9999, 1)
+
+
+def test_copies_of_a_secret_leave_room_for_other_windows(spark, monkeypatch):
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    code = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(18))
+    copied = f"{words(15)} password={code()} {words(15)}"
+    texts = [copied] * 300 + [f"{words(15)} token={code()} {words(15)}" for _ in range(60)] + [words(40) for _ in range(240)]
+    seen = []
+    monkeypatch.setattr(secret_tagger, "train", lambda rows, tags: seen.append((rows, tags)) or secret_tagger.Field.zero())
+    secret_tagger.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), most_windows=100)
+    [(windows, tags)] = seen
+    assert len(windows) == 100 and len({(w.tobytes(), g.tobytes()) for w, g in zip(windows, tags)}) == 100
+    assert tags.any(1).sum() == 50
