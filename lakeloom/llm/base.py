@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,18 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iter
             yield batch.slice(a, b - a)
 
 
+def byte_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut where a binary column passes a further ``most`` bytes; one longer value makes a batch of its own."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - size) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks and starts anew when full, so that it stays small on any input."""
 
