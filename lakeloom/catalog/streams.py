@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators import quality
 from lakeloom.plans import durable
 from lakeloom.registry import query
-from lakeloom.streaming import jobs, runner
+from lakeloom.streaming import jobs, pairing, runner
 
 MARK = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)"
 
@@ -51,7 +51,8 @@ SELECT user_id, min(ts)::VARCHAR AS window_start, (max(ts) + INTERVAL 30 MINUTE)
 FROM n GROUP BY user_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {MARK}
 """)
 def session(t):
-    return runner.append_result(jobs.sessions(stream(t), "30 minutes", "user_id"), "session")
+    with runner.settings(t.spark, jobs.MERGE_EARLY):
+        return runner.append_result(jobs.sessions(stream(t), "30 minutes", "user_id"), "session")
 
 
 @query("str_04_watermark_late_rows", "SELECT 'late rows dropped in batch 1' AS check, true AS ok")
@@ -218,6 +219,23 @@ def state(t):
     return jobs.merge_user_state(states)
 
 
+@query("str_15b_open_sessions", """
+WITH m AS (SELECT epoch_ms(max(ts) - INTERVAL 10 MINUTE) AS ms FROM events),
+ e AS (SELECT user_id, event_id, event_type, epoch_us(ts) AS us FROM events, m WHERE epoch_us(ts) <= ms * 1000),
+ s AS (SELECT v.user_id, v.event_id AS start_id, v.us AS start_us, arg_min(c.event_id, (c.us, c.event_id)) AS stop_id, min(c.us) AS stop_us
+  FROM (FROM e WHERE event_type = 'view') v LEFT JOIN (FROM e WHERE event_type = 'click') c
+   ON c.user_id = v.user_id AND (c.us, c.event_id) > (v.us, v.event_id) AND c.us <= v.us + 86400000000 GROUP BY ALL)
+SELECT user_id, start_id, start_us, stop_id, stop_us, if(stop_id IS NULL, 'timed out', 'closed') AS outcome FROM s, m
+WHERE stop_id IS NOT NULL OR start_us + 86400000000 <= ms * 1000
+""")
+def open_sessions(t):
+    """A view opens a session, the user's next click closes it, a day without one ends it; what the watermark has not passed stays open."""
+    pairs = pairing.pair_sessions(
+        stream(t), "user_id", "event_id", "ts", F.col("event_type") == "view", F.col("event_type") == "click", 24 * 60)
+    with runner.settings(t.spark, runner.STATE_STORE):
+        return runner.append_result(pairs, "pairing")
+
+
 @query("cdc_15_streaming_upsert", """
 SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1
 """)

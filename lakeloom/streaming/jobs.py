@@ -26,9 +26,11 @@ def sliding(events: DataFrame, size: str, slide: str, keys: list[str], aggs: dic
     return _span(agg, *keys, *aggs)
 
 
+MERGE_EARLY = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
 def sessions(events: DataFrame, gap: str, key: str) -> DataFrame:
-    """Sessions per key; rows of one task are merged before the shuffle, so a hot key sends few of them."""
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    """Sessions per key; start it with ``MERGE_EARLY``, which merges rows of one task before the shuffle, so that a hot key sends few of them."""
     agg = events.groupBy(F.session_window("ts", gap).alias("window"), key).agg(F.count("*").alias("events"))
     return _span(agg, key, "events")
 

@@ -1,7 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
 
 from lakeloom.plans import durable
-from lakeloom.streaming import jobs, runner
+from lakeloom.streaming import jobs, pairing, runner
 
 
 def _folder(t, spark, parts=3):
@@ -41,3 +43,50 @@ def test_quarantine_keeps_every_row(spark, t):
     good, bad = jobs.split_batches(raw, {"big": F.col("value") > 20}, "test-quality")
     assert good.count() + bad.count() == t.events.count()
     assert good.filter("value <= 20").isEmpty()
+
+
+def _pairs(events, timeout_us, mark):
+    """Each start with the first later stop of its user, or timed out; left out while the mark has not passed it."""
+    out = []
+    for user in {e[0] for e in events}:
+        mine = sorted((us, n, kind) for u, us, n, kind in events if u == user and us <= mark)
+        for i, (us, n, kind) in enumerate(mine):
+            if kind != "start":
+                continue
+            stop = next(((s, m) for s, m, k in mine[i + 1:] if k == "stop"), None)
+            if stop and stop[0] - us <= timeout_us:
+                out.append((user, n, us, stop[1], stop[0], "closed"))
+            elif us + timeout_us <= mark:
+                out.append((user, n, us, None, None, "timed out"))
+    return sorted(map(str, out))
+
+
+def test_open_sessions_over_batches_and_restarts(spark):
+    """Events out of order within the delay, one user with a third of them, equal times; a restart goes on with the open sessions."""
+    rng = random.Random(11)
+    second = 1_000_000
+    events = [(0 if i % 3 == 0 else rng.randint(1, 6), (i // 2) * 20 * second + rng.randint(0, 30) * second, i,
+               rng.choice(["start", "start", "stop", "other"])) for i in range(600)]
+    root = durable.scratch_dir(spark, "test-sessions")
+    schema = "user_id long, us long, n long, kind string"
+
+    def arrive(turn):
+        part = spark.createDataFrame(events[turn * 150:turn * 150 + 150], schema).withColumn("ts", F.timestamp_micros("us")).drop("us")
+        part.coalesce(1).write.parquet(f"{root}/in/{turn}")
+
+    arrive(0)
+    shape = spark.read.parquet(f"{root}/in/0").schema
+    for turns in ((), (1, 2), (3,)):
+        for turn in turns:
+            arrive(turn)
+        raw = runner.file_stream(spark, f"{root}/in/*", shape, max_files=1).withWatermark("ts", "2 minutes")
+        pairs = pairing.pair_sessions(raw, "user_id", "n", "ts", F.col("kind") == "start", F.col("kind") == "stop", 5, parts=2)
+        with runner.settings(spark, runner.STATE_STORE):
+            last = runner.append_to(pairs, f"{root}/out", f"{root}/checkpoint")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != runner.STATE_STORE["spark.sql.streaming.stateStore.providerClass"]
+    mark = (max(us for _, us, _, _ in events) - 120 * second) // 1000 * 1000
+    got = sorted(str(tuple(r)) for r in spark.read.parquet(f"{root}/out").select(
+        "user_id", "start_id", "start_us", "stop_id", "stop_us", "outcome").collect())
+    assert got == _pairs(events, 300 * second, mark)
+    # what is left in the state: events behind the mark, a day's open sessions, and one timer and its time per key
+    assert last.lastProgress.stateOperators[0].numRowsTotal < 120
