@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.catalog import _telemetry_sql as S
 from lakeloom.functions.literals import ntz
 from lakeloom.operators import gold, quality, silver
+from lakeloom.plans import durable
 from lakeloom.registry import query
 from lakeloom.sources import bronze
 
@@ -34,14 +35,14 @@ def devices(t):
     return silver.devices_cleaned(bronze.devices(t.customer))
 
 
-def everything(t, name):
+def everything(t, name, known=None):
     _, raw, clean = CLEANED[name]
-    return clean(bronze.telemetry(t.spread("events", "event_id"), raw), devices(t))
+    return clean(bronze.telemetry(t.spread("events", "event_id"), raw), devices(t) if known is None else known)
 
 
-def cleaned(t, name):
+def cleaned(t, name, known=None):
     rules = silver.RULES.get(name)
-    df = everything(t, name)
+    df = everything(t, name, known)
     return quality.drop_bad(df, quality.parse(rules)) if rules else df
 
 
@@ -98,8 +99,10 @@ query("gld_05_streaming_qoe", S.GOLD["streaming_qoe"])(
 
 @query("gld_06_user_engagement_360", S.GOLD["user_engagement_360"])
 def engagement(t):
+    """The devices and the viewing sessions are used several times and written first."""
+    known = durable.cut(devices(t), "devices")
+    viewing = durable.cut(cleaned(t, "viewing_sessions", known), "viewing")
     switches = bronze.telemetry(t.spread("events", "event_id"), "input_switch_events").withColumn("event_date", F.to_date("ts"))
-    names = ("voice_interactions", "iot_interactions")
-    return gold.user_engagement_360(
-        devices(t), cleaned(t, "viewing_sessions"), *[cleaned(t, n) for n in names], switches,
-        cleaned(t, "streaming_quality"), cleaned(t, "error_events"), cleaned(t, "ad_funnel"))
+    voice, iot, streams, errors, ads = (
+        cleaned(t, n, known) for n in ("voice_interactions", "iot_interactions", "streaming_quality", "error_events", "ad_funnel"))
+    return gold.user_engagement_360(known, viewing, voice, iot, switches, streams, errors, ads)

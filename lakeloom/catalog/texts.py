@@ -13,7 +13,7 @@ from lakeloom.operators import chunking as K
 from lakeloom.operators import dedup as D
 from lakeloom.operators import monitoring as N
 from lakeloom.operators import retrieval as R
-from lakeloom.plans import ordered, skew
+from lakeloom.plans import durable, ordered, skew
 from lakeloom.registry import query
 
 TOK = f"list_filter(regexp_split_to_array(lower(text), '{X.WORD}'), lambda w: w <> '')"
@@ -138,12 +138,11 @@ SELECT label, vec_id, round(dist, 6) AS dist, (sum((coalesce(dist > p95, false))
 def breakpoints(t):
     """The vectors of a label, by id, play the sentences of a document."""
     base = t.embeddings.select("label", "vec_id", R.as_doubles(F.col("embedding")).alias("v"))
-    bucket = F.floor(F.col("vec_id") / 1000)
-    seen = ordered.neighbor(base, ["label"], ["vec_id"], bucket, {"prev": F.col("v")})
-    dist = seen.select("label", "vec_id", (1 - R.cosine(F.col("v"), F.col("prev"))).alias("dist"))
-    p95 = ordered.exact_quantiles(dist, ["label"], "dist", {"p95": 0.95}, 0.01)
+    seen = ordered.scan(base, ["label"], ["vec_id"], before={"prev": F.col("v")})
+    dist = durable.cut(seen.select("label", "vec_id", (1 - R.cosine(F.col("v"), F.col("prev"))).alias("dist")), "distances")
+    p95 = ordered.exact_quantiles(dist, ["label"], "dist", {"p95": 0.95})
     cut = dist.join(p95, "label", "left").withColumn("b", F.coalesce(F.col("dist") > F.col("p95"), F.lit(False)).cast("bigint"))
-    out = ordered.running(cut, ["label"], ["vec_id"], bucket, {"segment": F.col("b")})
+    out = ordered.scan(cut, ["label"], ["vec_id"], sums={"segment": F.col("b")})
     return out.select("label", "vec_id", F.round("dist", 6).alias("dist"), "segment")
 
 

@@ -78,7 +78,7 @@ SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY t
  ROWS UNBOUNDED PRECEDING), 4) AS running FROM events
 """)
 def running(t):
-    out = ordered.running(t.events, ["user_id"], ["ts", "event_id"], ordered.day_bucket("ts"), {"running": F.col("value")})
+    out = ordered.scan(t.events, ["user_id"], ["ts", "event_id"], sums={"running": F.col("value")})
     return out.select("event_id", "user_id", F.round("running", 4).alias("running"))
 
 
@@ -159,9 +159,7 @@ SELECT o_custkey, o_orderkey, date_diff('day', lag(o_orderdate) OVER w, o_orderd
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) QUALIFY gap_days > 90 OR gap_days IS NULL
 """)
 def gaps(t):
-    seen = ordered.neighbor(
-        t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate"),
-        {"prev": F.col("o_orderdate")})
+    seen = ordered.scan(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], before={"prev": F.col("o_orderdate")})
     gap = F.datediff("o_orderdate", "prev").cast("bigint")
     return seen.select("o_custkey", "o_orderkey", gap.alias("gap_days")).filter("gap_days > 90 OR gap_days IS NULL")
 
@@ -173,9 +171,7 @@ SELECT event_id, user_id, event_type, CASE WHEN event_type = 'view' AND lead(eve
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def pairing(t):
-    seen = ordered.neighbor(
-        t.events, ["user_id"], ["ts", "event_id"], ordered.day_bucket("ts"),
-        {"next_type": F.col("event_type"), "next_ts": F.col("ts")}, forward=True)
+    seen = ordered.scan(t.events, ["user_id"], ["ts", "event_id"], after={"next_type": F.col("event_type"), "next_ts": F.col("ts")})
     paired = F.coalesce((F.col("event_type") == "view") & (F.col("next_type") == "click"), F.lit(False))
 
     def sec(c):
@@ -197,7 +193,7 @@ def sequence(t):
     steps = {"signup": 1, "view": 2, "click": 3, "purchase": 4}
     code = F.coalesce(F.create_map(*[F.lit(x) for kv in steps.items() for x in kv])[F.col("event_type")], F.lit(0))
     base = t.events.select("event_id", "user_id", "ts", code.alias("step"))
-    seen = ordered.neighbor(base, ["user_id"], ["ts", "event_id"], ordered.day_bucket("ts"), {"prev": F.col("step")})
+    seen = ordered.scan(base, ["user_id"], ["ts", "event_id"], before={"prev": F.col("step")})
     return seen.select("event_id", "step", F.coalesce(F.col("step") >= F.col("prev"), F.lit(True)).alias("valid"))
 
 
@@ -210,9 +206,8 @@ def chain(t):
     base = t.events.select(
         "event_id", "user_id", "ts", (F.col("event_id") % 4).alias("cur"), ((F.col("event_id") + 1) % 4).alias("target"),
         (F.col("event_type") != "error").alias("ok"))
-    key, order, bucket = ["user_id"], ["ts", "event_id"], ordered.day_bucket("ts")
-    seen = ordered.neighbor(base, key, order, bucket, {"prev_target": F.col("target"), "prev_ok": F.col("ok")})
-    seq = ordered.position(seen, key, order, bucket, "seq")
+    seq = ordered.scan(base, ["user_id"], ["ts", "event_id"], before={"prev_target": F.col("target"), "prev_ok": F.col("ok")},
+                       sums={"seq": F.lit(1).cast("bigint")})
     linked = F.coalesce((F.col("cur") == F.col("prev_target")) & F.col("prev_ok"), F.lit(False))
     return seq.select("event_id", "seq", ((F.col("seq") == 1) | linked).alias("consistent"))
 
@@ -259,9 +254,8 @@ SELECT o_custkey, o_orderkey, o_orderpriority, lag(o_orderpriority) OVER w AS pr
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
 def previous(t):
-    seen = ordered.neighbor(
-        t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate"),
-        {"previous": F.col("o_orderpriority"), "prev_date": F.col("o_orderdate")})
+    seen = ordered.scan(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                        before={"previous": F.col("o_orderpriority"), "prev_date": F.col("o_orderdate")})
     return seen.select(
         "o_custkey", "o_orderkey", "o_orderpriority", "previous",
         F.datediff("o_orderdate", "prev_date").cast("bigint").alias("tenure_days"))

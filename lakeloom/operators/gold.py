@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import conditional as C
 from lakeloom.functions.literals import exact_mean, exact_sum, half_up
-from lakeloom.operators import aggregates as A
 from lakeloom.operators.joins import full_join_on
 from lakeloom.operators.quality import fail_on_bad
-from lakeloom.plans import ordered, skew
+from lakeloom.plans import skew
 
 # Keywords, penalties, grades and segment limits of the summaries.
 LIVE, OTT, HDMI = ["LIVE", "TV"], ["OTT", "STREAM", "APP"], ["HDMI", "EXTERNAL"]
@@ -136,31 +135,50 @@ def streaming_qoe(streams: DataFrame, devices: DataFrame) -> DataFrame:
     return fail_on_bad(out.drop("__stalls", "__buffering", "__outliers"), {"valid_qoe": F.col("qoe_score").between(0, 100)})
 
 
+def _viewing_profile(seen: DataFrame) -> DataFrame:
+    """Per device: time and shares, distinct channels and the three heaviest apps and genres, from one pass over the sessions.
+
+    Sessions are summed per device, per app, per genre and per channel at once; the second aggregate sees one row per distinct value.
+    """
+    source = F.col("content_source")
+    weight = F.sum(F.col("duration_min").cast("decimal(18,1)"))
+    sets = [["device_id"], *[["device_id", c] for c in ("app_id", "genre", "channel_name")]]
+    sums = seen.groupingSets(sets, "device_id", "app_id", "genre", "channel_name").agg(
+        F.grouping_id().alias("level"), weight.alias("w"), F.struct(
+            _one_decimal(exact_sum("duration_min", 1) / PROFILE_DAYS).alias("avg_daily_viewing_min"),
+            _share_if(C.contains_any(source, LIVE)).alias("live_tv_pct"), _share_if(C.contains_any(source, OTT)).alias("ott_pct"),
+            _share_if(C.contains_any(source, ["HDMI"])).alias("hdmi_pct"), _share_if(F.col("is_primetime")).alias("primetime_ratio"),
+            _share_if(F.dayofweek("session_start").isin(1, 7)).alias("weekend_ratio"),
+            _one_decimal(F.count("*") / PROFILE_DAYS).alias("avg_sessions_per_day"),
+            _one_decimal(exact_mean("duration_min", 1)).alias("avg_session_duration_min")).alias("whole"))
+    # a bit of the level is set for each column that a row does not name
+    whole, app, genre, channel = (F.col("level") == n for n in (0b0111, 0b0011, 0b0101, 0b0110))
+
+    def top(level: Column, name: str) -> Column:
+        held = F.collect_list(F.when(level & F.col(name).isNotNull(), F.struct((-F.col("w")).alias("w"), F.col(name).alias("item"))))
+        return F.transform(F.slice(F.sort_array(held), 1, 3), lambda x: x["item"])
+
+    per_device = sums.groupBy("device_id").agg(
+        F.first(F.when(whole, F.col("whole")), ignorenulls=True).alias("whole"),
+        F.count_if(channel & F.col("channel_name").isNotNull()).alias("channel_diversity"),
+        top(app, "app_id").alias("__apps"), top(genre, "genre").alias("__genres"))
+    listed = [F.when(F.size(c) > 0, F.col(c)).alias(n) for c, n in (("__apps", "top_3_apps"), ("__genres", "top_3_genres"))]
+    return per_device.select("device_id", "whole.*", "channel_diversity", *listed)
+
+
 def user_engagement_360(devices, viewing, voice, iot, switches, streams, errors, ads) -> DataFrame:
-    """Profile per device over the last 30 days of viewing."""
-    last = viewing.agg(F.max("event_date"))
+    """Profile per device over the last 30 days of viewing. ``viewing`` is read twice (for its last day first), every other table once."""
+    last = F.lit(viewing.agg(F.max("event_date")).first()[0]).cast("date")
 
     def recent(df: DataFrame) -> DataFrame:
-        return df.filter(F.col("event_date").between(F.date_sub(last.scalar(), PROFILE_DAYS), last.scalar()))
+        return df.filter(F.col("event_date").between(F.date_sub(last, PROFILE_DAYS), last))
 
     key = ["device_id"]
-    seen = recent(viewing)
-    source = F.col("content_source")
-    view = seen.groupBy(*key).agg(
-        _one_decimal(exact_sum("duration_min", 1) / PROFILE_DAYS).alias("avg_daily_viewing_min"),
-        _share_if(C.contains_any(source, LIVE)).alias("live_tv_pct"), _share_if(C.contains_any(source, OTT)).alias("ott_pct"),
-        _share_if(C.contains_any(source, ["HDMI"])).alias("hdmi_pct"), _share_if(F.col("is_primetime")).alias("primetime_ratio"),
-        _share_if(F.dayofweek("session_start").isin(1, 7)).alias("weekend_ratio"), F.count_distinct("channel_name").alias("channel_diversity"),
-        _one_decimal(F.count("*") / PROFILE_DAYS).alias("avg_sessions_per_day"),
-        _one_decimal(exact_mean("duration_min", 1)).alias("avg_session_duration_min"))
-    tops = [
-        A.top_list(seen.filter(F.col(c).isNotNull()).withColumn("__m", F.col("duration_min").cast("decimal(18,1)")), key, c, F.col("__m"), 3, n)
-        for c, n in (("app_id", "top_3_apps"), ("genre", "top_3_genres"))
-    ]
+    view = _viewing_profile(recent(viewing))
     qoe = 100 - F.when(F.col("is_buffering"), 20).otherwise(0) - F.col("stall_count") * 5 - F.when(F.col("is_outlier"), 10).otherwise(0)
     hdmi = switches.filter(F.col("cec_device_name").isNotNull() & (F.trim("cec_device_name") != ""))
     parts = [
-        view, *tops,
+        view,
         recent(voice).groupBy(*key).agg(half_up(F.count("*") / PROFILE_DAYS, 2).alias("voice_usage_rate")),
         recent(iot).groupBy(*key).agg(F.count_distinct("iot_device_id").alias("iot_device_count")),
         recent(hdmi).groupBy(*key).agg(F.count_distinct("cec_device_name").alias("hdmi_device_count")),
@@ -172,7 +190,7 @@ def user_engagement_360(devices, viewing, voice, iot, switches, streams, errors,
     ]
     about = devices.select("device_id", "model_name", "product_line", "region", "panel_type", "os_version")
     joined = reduce(lambda a, b: a.join(b, "device_id", "left"), parts, about)
-    zero = [c for p in (view, *parts[3:]) for c in p.columns if c not in ("device_id", "avg_streaming_qoe")]
+    zero = [c for p in parts for c in p.columns if c not in ("device_id", "avg_streaming_qoe", "top_3_apps", "top_3_genres")]
     full = joined.fillna(0, zero).fillna(100, ["avg_streaming_qoe"])
     live, ott, ext = F.col("live_tv_pct"), F.col("ott_pct"), F.col("hdmi_pct")
     out = full.withColumns({

@@ -85,20 +85,10 @@ def scd2(
         closed = ordered.neighbor(feed, keys, order, bucket, {"end_at": F.col(seq)}, forward=True)
         return closed.filter("NOT __del").withColumn("start_at", F.col(seq)).drop("__del")
     image = F.struct(F.col("__del").alias("d"), *[F.col(c) for c in tracked])
-    seen = ordered.neighbor(feed, keys, order, bucket, {"__prev": image})
-    starts = F.col("__prev").isNull() | (~F.col("__prev").eqNullSafe(image))
-    marked = seen.withColumn("__new", F.when(starts, 1).otherwise(0).cast("bigint")).drop("__prev")
-    grouped = ordered.running(marked, keys, order, bucket, {"__ver": F.col("__new")})
-    rest = [c for c in feed.columns if c not in (*keys, "__del")]
-    versions = grouped.groupBy(*keys, "__ver").agg(
-        F.min(seq).alias("start_at"),
-        F.max("__del").alias("__del"),
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("__row"),
-    )
-    closed = ordered.neighbor(
-        versions, keys, ["__ver"], F.floor(F.col("__ver") / 1000), {"end_at": F.col("start_at")}, forward=True
-    )
-    return closed.filter("NOT __del").select(*keys, "__row.*", "start_at", "end_at")
+    seen = ordered.scan(
+        feed, keys, order, after={"__next": image, "end_at": F.col(seq)}, runs={"start_at": (image, F.col(seq))})
+    # the last row of a run is its version; the next row, if any, starts the next version
+    return seen.filter(~F.col("__next").eqNullSafe(image) & ~F.col("__del")).drop("__next", "__del")
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -22,8 +22,8 @@ def asof_join(
 ) -> DataFrame:
     """Latest right row at or before each left row, per key; left rows without one keep NULLs.
 
-    Both sides become one time line and the last right row is carried forward, hour bucket by hour
-    bucket, so no key has to fit into one task. ``tie`` orders right rows of one instant.
+    Both sides become one time line and the last right row is carried forward, bucket by bucket of
+    rows, so no key has to fit into one task. ``tie`` orders right rows of one instant.
     """
     packed = F.struct(*[c.alias(n) for n, c in outputs.items()])
     features = right.select(
@@ -35,10 +35,7 @@ def asof_join(
         F.struct(*left.columns).alias("__row"),
     )
     line = features.unionByName(labels, allowMissingColumns=True)
-    order = ["__t", "__side", "__tie"]
-    carried = ordered.carry_forward(
-        line, [key], order, ordered.hour_bucket("__t"), F.col("__feature"), "__asof"
-    )
+    carried = ordered.scan(line, [key], ["__t", "__side", "__tie"], last={"__asof": F.col("__feature")})
     return carried.filter("__side = 1").select("__row.*", *[F.col(f"__asof.{n}").alias(n) for n in outputs])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import conditional as C
 from lakeloom.functions.literals import exact_mean, half_up
 from lakeloom.operators.aggregates import time_floor
-from lakeloom.plans import ordered, skew
+from lakeloom.plans import durable, ordered, skew
 
 # Codes, keywords, steps and limits of the cleaned tables.
 REGION_COUNTRY = {
@@ -260,11 +260,10 @@ def panel_health(raw: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def firmware_history(raw: DataFrame, known: DataFrame) -> DataFrame:
-    order, bucket = ["ts", "event_id"], ordered.day_bucket("ts")
-    once = _once(raw, known).withColumn("result_code", F.upper("install_result"))
-    before = {"prev_target": F.col("target_version"), "prev_result": F.col("result_code")}
-    seen = ordered.neighbor(once, ["device_id"], order, bucket, before)
-    numbered = ordered.position(seen, ["device_id"], order, bucket, "update_sequence")
+    once = durable.cut(_once(raw, known).withColumn("result_code", F.upper("install_result")), "firmware")
+    numbered = ordered.scan(
+        once, ["device_id"], ["ts", "event_id"], before={"prev_target": F.col("target_version"), "prev_result": F.col("result_code")},
+        sums={"update_sequence": F.lit(1).cast("bigint")})
     size, ms = F.col("download_size_bytes"), F.col("download_duration_ms")
     follows = (F.col("current_version") == F.col("prev_target")) & F.col("prev_result").isin(*INSTALL_DONE)
     return numbered.select(

@@ -71,3 +71,60 @@ def test_context_windows_cross_blocks(spark):
     got = {r.turn: r.context for r in retrieval.context_windows(df, "c", "turn", "role", "text", 3, block=4).collect()}
     assert len(got) == 50
     assert all(got[i] == [f"u: m{j}" for j in range(max(0, i - 3), i)] for i in range(50))
+
+
+def many(spark, n=3000, users=40):
+    """A third of the rows in one key, half of those at one time; a key of NULL values; ties in the first order column."""
+    rng = random.Random(5)
+    data = []
+    for i in range(n):
+        k = 0 if i % 3 == 0 else rng.randint(1, users)
+        ts = 500 if k == 0 and rng.random() < 0.5 else rng.randint(0, 1000)
+        data.append((k, ts, i, rng.choice([None, rng.randint(0, 9)]) if k != 7 else None, rng.choice(["a", "b", None])))
+    return spark.createDataFrame(data, "k long, ts long, id long, x long, s string").repartition(4).persist()
+
+
+def expected_scan(df):
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    flagged = df.withColumn("new", F.lag(F.lit(1)).over(w).isNull() | ~F.lag("s").over(w).eqNullSafe(F.col("s")))
+    return flagged.select(
+        "k", "ts", "id", F.lag("id").over(w).alias("b"), F.lag("x").over(w).alias("bx"), F.lead("x").over(w).alias("a"),
+        F.sum("x").over(upto).alias("total"), F.row_number().over(w).cast("bigint").alias("pos"),
+        F.sum("x").over(Window.partitionBy("k")).alias("total_total"), F.last("x", ignorenulls=True).over(upto).alias("seen"),
+        F.last(F.when(F.col("new"), F.col("id")), ignorenulls=True).over(upto).alias("run"))
+
+
+@pytest.mark.parametrize("sampled, with_runs", [(64, False), (8, False), (8, True), (2, True)])
+def test_scan_equals_plain_windows(spark, monkeypatch, sampled, with_runs):
+    monkeypatch.setattr(ordered, "SAMPLED", sampled)
+    df = many(spark)
+    got = ordered.scan(
+        df, ["k"], ["ts", "id"], before={"b": F.col("id"), "bx": F.col("x")}, after={"a": F.col("x")},
+        sums={"total": F.col("x"), "pos": F.lit(1).cast("bigint")}, totals=["total"], last={"seen": F.col("x")},
+        runs={"run": (F.col("s"), F.col("id"))} if with_runs else None)
+    want = expected_scan(df)
+    cols = [c for c in want.columns if with_runs or c != "run"]
+    same(got.select(*cols), want.select(*cols))
+
+
+def test_buckets_follow_the_data(spark, monkeypatch):
+    """The hot key is cut inside its crowded time too; keys with few rows stay whole; buckets grow with the order."""
+    monkeypatch.setattr(ordered, "SAMPLED", 8)
+    df = many(spark)
+    rows = ordered.by_load(df, ["k"], ["ts", "id"], ordered.borders_by_load(df, ["k"], ["ts", "id"]))
+    sizes = [r["n"] for r in rows.filter("k = 0").groupBy("__bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) <= 4 * 1000 / len(sizes)
+    assert rows.filter("k <> 0 AND ts = 500 AND __bucket < 0").isEmpty()
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    assert rows.withColumn("p", F.lag("__bucket").over(w)).filter("p > __bucket").isEmpty()
+
+
+def test_largest_task_stays_near_the_mean(spark):
+    """A third of 200,000 rows in one key and one day: rows per shuffle partition under the buckets' hash."""
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), (F.xxhash64("id") % 1000).alias("ts"), "id")
+    borders = ordered.borders_by_load(df, ["k"], ["ts", "id"], parts=50)
+    parts = ordered.by_load(df, ["k"], ["ts", "id"], borders).repartition(50, "k", "__bucket").groupBy(F.spark_partition_id().alias("p")).count()
+    biggest = parts.agg(F.max("count")).first()[0]
+    assert biggest <= 2 * 200_000 / 50
