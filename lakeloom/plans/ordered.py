@@ -62,9 +62,7 @@ def borders_by_load(df: DataFrame, keys: Sequence[str], order: Sequence[str], pa
     lists = picked.groupBy(*keys).agg(F.sort_array(F.collect_list("__o")).alias("__s")).filter(F.size("__s") >= 2 * SAMPLED)
     places = F.sequence(F.lit(SAMPLED), F.size("__s") - 1, F.lit(SAMPLED))
     borders = lists.select(*keys, F.transform(places, lambda i: F.col("__s")[i]).alias("__borders"))
-    # every 64th border first, then the 64 behind the right one
-    coarse = F.transform(F.sequence(F.lit(0), F.size("__borders") - 1, F.lit(64)), lambda i: F.col("__borders")[i])
-    borders = durable.cut(borders.withColumn("__coarse", coarse), "borders")
+    borders = durable.cut(borders, "borders")
     return None if borders.isEmpty() else borders
 
 
@@ -72,12 +70,24 @@ def by_load(df: DataFrame, keys: Sequence[str], order: Sequence[str], borders: D
     """``df`` with a bucket number that grows with the order of a cut key and is 0 elsewhere; ``how="inner"`` keeps the cut keys only."""
     if borders is None:
         return df.withColumn(_B, F.lit(0))
-    joined = df.withColumn("__o", F.struct(*order)).join(F.broadcast(borders), list(keys), how)
-    block = F.size(F.filter("__coarse", lambda x: x <= F.col("__o")))
-    joined = joined.withColumn("__block", F.when(F.col("__borders").isNotNull(), block).otherwise(0))
-    fine = F.slice("__borders", 64 * (F.col("__block") - 1) + 1, F.lit(64))
-    inside = 64 * (F.col("__block") - 1) + F.size(F.filter(fine, lambda x: x <= F.col("__o")))
-    return joined.withColumn(_B, F.when(F.col("__block") > 0, inside).otherwise(0)).select(*df.columns, _B)
+    joined = with_coarse(borders, "__borders", "__coarse")
+    joined = df.withColumn("__o", F.struct(*order)).join(F.broadcast(joined), list(keys), how)
+    return numbered(joined, "__o", "__borders", "__coarse", _B).select(*df.columns, _B)
+
+
+def with_coarse(df: DataFrame, borders: str, name: str) -> DataFrame:
+    """Every 64th of a sorted array of borders, for :func:`numbered`."""
+    every = F.sequence(F.lit(0), F.size(borders) - 1, F.lit(64))
+    return df.withColumn(name, F.when(F.size(borders) > 0, F.transform(every, lambda i: F.col(borders)[i])).otherwise(F.slice(borders, 1, 1)))
+
+
+def numbered(df: DataFrame, value: str, borders: str, coarse: str, name: str) -> DataFrame:
+    """How many of the sorted ``borders`` are at most ``value``; looks at every 64th first, then at the 64 behind the right one. NULL borders give 0."""
+    block = F.size(F.filter(coarse, lambda x: x <= F.col(value)))
+    df = df.withColumn("__block", F.when(F.col(borders).isNotNull(), block).otherwise(0))
+    fine = F.slice(borders, 64 * (F.col("__block") - 1) + 1, F.lit(64))
+    inside = 64 * (F.col("__block") - 1) + F.size(F.filter(fine, lambda x: x <= F.col(value)))
+    return df.withColumn(name, F.when(F.col("__block") > 0, inside).otherwise(0)).drop("__block")
 
 
 def scan(

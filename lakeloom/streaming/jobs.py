@@ -8,6 +8,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakeloom.operators import quality
 from lakeloom.plans import skew
+from lakeloom.sources.keyed import KeyedTable
 from lakeloom.streaming import runner
 
 
@@ -67,22 +68,22 @@ def split_batches(stream: DataFrame, rules: dict[str, Column], label: str) -> tu
 
 
 def upsert_batches(stream: DataFrame, keys: list[str], seq: list[str], label: str) -> DataFrame:
-    """Latest row per key, merged batch by batch; version n of the table is the state after batch n.
+    """Latest row per key, merged batch by batch into ranges of the key; a batch reads and writes only the ranges it reaches.
 
-    A replayed batch reads the version before it and overwrites its own, so the merge is idempotent.
+    The table keeps the number of the last batch it took in, so a replayed one changes nothing.
     """
-    spark = stream.sparkSession
     order = [F.desc(c) for c in seq]
 
     def write(df: DataFrame, batch: int, root: str) -> None:
+        table = KeyedTable(df.sparkSession, f"{root}/table", keys)
         newest = skew.latest_per_key(df, keys, order)
-        if batch > 0:
-            target = df.sparkSession.read.parquet(f"{root}/out/v={batch - 1}")
-            newest = skew.latest_per_key(target.unionByName(newest), keys, order)
-        newest.write.mode("overwrite").parquet(f"{root}/out/v={batch}")
+        if table.version() < 0:
+            table.create(newest, batch)
+        else:
+            table.merge(newest, newest=order, batch=batch)
 
-    query, root = runner.each_batch(stream, label, write)
-    return spark.read.parquet(f"{root}/out/v={query.lastProgress.batchId}")
+    _, root = runner.each_batch(stream, label, write)
+    return KeyedTable(stream.sparkSession, f"{root}/table", keys).read()
 
 
 STATE = "n long, first_us long, last_us long, spent double"
