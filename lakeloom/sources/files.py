@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,47 +24,79 @@ def read_csv(spark: SparkSession, path: str, hints: Mapping[str, str] | None = N
     return spark.read.schema(T.StructType(fields)).csv(path, header=True)
 
 
+def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, length, modified) of the files below a folder; no file is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    return found.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 class LoadLog:
-    """Record of loaded files under the target folder, so that a repeated load skips them."""
+    """The files that a target table has taken in, by load.
 
-    SCHEMA = "file_path string"
+    Load n puts its rows into ``<target>/load=n`` and then its files into ``<log>/load=n``; the log is what commits it. Rows of a load that
+    failed in between are not part of the table, and the next load writes over them.
+    """
+
+    SCHEMA = "path string, length long, modified timestamp"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def loads(self) -> list[int]:
+        """Numbers of the committed loads."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/load=*/_SUCCESS")
+        found = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+        return sorted(int(f.getPath().getParent().getName().removeprefix("load=")) for f in found or [])
+
     def loaded(self) -> DataFrame:
-        if not _exists(self.spark, self.path):
-            return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        loads = self.loads()
+        reader = self.spark.read.schema(self.SCHEMA)
+        return reader.parquet(*[f"{self.path}/load={n}" for n in loads]) if loads else self.spark.createDataFrame([], self.SCHEMA)
 
-    def add(self, files: DataFrame) -> None:
-        files.write.mode("append").parquet(self.path)
+    def add(self, load: int, files: DataFrame) -> None:
+        files.write.mode("overwrite").parquet(f"{self.path}/load={load}")
 
+    def table(self, target: str) -> DataFrame:
+        """Rows of the committed loads; columns that only some of them have are NULL in the others."""
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{target}/load={n}" for n in self.loads()])
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+def load_new_files(spark: SparkSession, folder: str, read: Callable[[list[str]], DataFrame], target: str, log: LoadLog, pattern: str = "*") -> int:
+    """Append the rows of files not loaded before; returns how many files that were.
+
+    Old files are neither opened nor read: a listing without the logged paths says which are new, and only those go to ``read``. Their
+    list, as long as what is new, passes through the driver. Files that arrive after the listing wait for the next load.
+    """
+    new = durable.cut(listing(spark, folder, pattern).join(log.loaded().select("path"), "path", "left_anti"), "new-files")
+    return _load(read, new, target, log)
 
 
 def copy_into(source: DataFrame, target: str, log: LoadLog) -> int:
-    """Append the rows of files not loaded before; returns the number of new files."""
-    tagged = source.select("*", F.col("_metadata.file_path").alias("file_path"))
-    # the file list is fixed before the append, so files that arrive meanwhile wait for the next load
-    new = durable.cut(tagged.select("file_path").distinct().join(log.loaded(), "file_path", "left_anti"), "new-files")
-    fresh = tagged.join(new, "file_path", "left_semi").drop("file_path")
-    fresh.write.mode("append").parquet(target)
-    log.add(new)
-    return new.count()
+    """As :func:`load_new_files` for a table of files that is open already, whose file names are taken from its rows; this reads old files too."""
+    tagged = source.withColumn("path", F.col("_metadata.file_path"))
+    new = tagged.select("path").distinct().join(log.loaded().select("path"), "path", "left_anti")
+    new = durable.cut(new.select("path", F.lit(None).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified")), "new-files")
+    return _load(lambda paths: tagged.join(new.select("path"), "path", "left_semi").drop("path"), new, target, log)
+
+
+def _load(read: Callable[[list[str]], DataFrame], new: DataFrame, target: str, log: LoadLog) -> int:
+    paths = [r.path for r in new.select("path").collect()]
+    if paths:
+        load = max(log.loads(), default=-1) + 1
+        read(paths).write.mode("overwrite").parquet(f"{target}/load={load}")
+        log.add(load, new)
+    return len(paths)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
-    """One directory per partition value; rows of a value meet in few tasks, so files stay large."""
-    df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode(mode).partitionBy(*by).parquet(path)
+    """One directory per partition value; rows of a value meet in few tasks, more where they are many, so files are large and even."""
+    df.hint("rebalance", *[F.col(c) for c in by]).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df``; a rerun gives the same table."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    rows = df.hint("rebalance", *[F.col(c) for c in by])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def append_merged(spark: SparkSession, path: str, *frames: DataFrame) -> DataFrame:
