@@ -163,6 +163,13 @@ def vector_search(t):
     return R.vector_top_k(t.embeddings, _vector_queries(t), "vec_id", "embedding", 10).withColumn("score", F.round("score", 6))
 
 
+@query("txt_11b_lsh_vector_top_k")
+def lsh_search(t):
+    """Every vector whose id ends in 0 or 5 against all others, through buckets of random projections widened to a recall of 0.95."""
+    asked = t.embeddings.filter("vec_id % 5 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec"))
+    return R.lsh_top_k(t.embeddings, asked, "vec_id", "embedding", 10).withColumn("score", F.round("score", 6))
+
+
 @query("txt_12_filtered_vector_search", f"WITH {VQ}, {_vsearch(5, 'label IN (1, 3, 5)')} SELECT query_id, vec_id, round(score, 6) AS score, rank FROM v")
 def filtered_search(t):
     some = t.embeddings.filter(F.col("label").isin(1, 3, 5))

@@ -37,11 +37,16 @@ def long_features(df: DataFrame, side: Column, columns: Sequence[str], keys: Seq
 
 
 def binned_shares(long: DataFrame, bins: int = 10) -> DataFrame:
-    """Share of each side per feature and equal-width bin over the joint range, floored."""
-    span = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    # one row per monitored feature: a handful, so the join is planned as a broadcast by its size
-    place = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)).otherwise(0)
-    binned = long.join(span, "feature").withColumn("bin", F.least(F.lit(bins - 1), place).cast("int"))
+    """Share of each side per feature and equal-width bin over the joint range, floored.
+
+    The ranges of all features are one value, an entry per monitored column, that travels to the rows; the rows themselves are counted
+    where they are and only counts per feature and bin are exchanged.
+    """
+    span = long.groupBy("feature").agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("span"))
+    spans = span.agg(F.map_from_entries(F.collect_list(F.struct("feature", "span"))))
+    lo, hi = F.col("__span.lo"), F.col("__span.hi")
+    place = F.when(hi > lo, F.floor((F.col("value") - lo) / (hi - lo) * bins)).otherwise(0)
+    binned = long.withColumn("__span", spans.scalar()[F.col("feature")]).withColumn("bin", F.least(F.lit(bins - 1), place).cast("int"))
     counts = binned.groupBy("feature", "bin").agg(
         F.count_if(F.col("side") == "base").alias("b"), F.count_if(F.col("side") == "current").alias("c"))
     whole = Window.partitionBy("feature")  # at most ``bins`` rows each

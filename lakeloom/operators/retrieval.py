@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import each_token, tokens
-from lakeloom.plans import ordered, skew
+from lakeloom.plans import durable, ordered, skew
 
 K1, B = 1.2, 0.75
 RRF_CONSTANT = 60
-QUERIES_PER_PASS = 1000
+QUERIES_PER_BLOCK = 1000
 
 
 def as_doubles(v: Column) -> Column:
@@ -31,19 +33,87 @@ def cosine(a: Column, b: Column) -> Column:
 def vector_top_k(vectors: DataFrame, queries: DataFrame, key: str, vec: str, k: int) -> DataFrame:
     """Exact cosine top-k per query (query_id, qvec).
 
-    Queries travel as one value to the vectors, ``QUERIES_PER_PASS`` at a time, and each pass reads the vectors once; each task
-    keeps its own best k per query before anything is shuffled.
+    Queries are packed ``QUERIES_PER_BLOCK`` to a row; a vector meets each block once and a task keeps its own best k per query before
+    anything is sent. A few blocks travel to the vectors by their size; many are joined on block and a salt of the vector's key, so that a
+    block is not one task.
     """
     qs = queries.select("query_id", as_doubles(F.col("qvec")).alias("q"))
-    passes = max(1, -(-qs.count() // QUERIES_PER_PASS))
-    found = []
-    for i in range(passes):
-        part = qs.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == i) if passes > 1 else qs
-        packed = part.agg(F.collect_list(F.struct("query_id", "q")).alias("p"))
-        rows = vectors.withColumn("__v", as_doubles(F.col(vec))).withColumn("__q", F.explode(packed.scalar()))
-        scored = rows.select(F.col("__q.query_id").alias("query_id"), key, cosine(F.col("__v"), F.col("__q.q")).alias("score"))
-        found.append(skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank"))
-    return reduce(lambda a, b: a.unionByName(b), found)
+    blocks = F.greatest(F.lit(1), F.ceil(qs.agg(F.count("*")).scalar() / QUERIES_PER_BLOCK)).cast("int")
+    packed = qs.groupBy(F.pmod(F.xxhash64("query_id"), blocks).cast("int").alias("__block")).agg(
+        F.collect_list(F.struct("query_id", "q")).alias("__asked"))
+    rows = vectors.select(key, as_doubles(F.col(vec)).alias("__v")).withColumn("__block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    met = skew.salted_join(rows, packed, ["__block"], [key]).withColumn("__q", F.explode("__asked"))
+    scored = met.select(F.col("__q.query_id").alias("query_id"), key, cosine(F.col("__v"), F.col("__q.q")).alias("score"))
+    return skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
+
+
+def recall(found: DataFrame, exact: DataFrame, key: str) -> float:
+    """Share of the exact pairs (query_id, key) that were found."""
+    both = exact.select("query_id", key).join(found.select("query_id", key).withColumn("__hit", F.lit(1)), ["query_id", key], "left")
+    return both.agg(F.coalesce(F.avg(F.coalesce("__hit", F.lit(0))), F.lit(1.0))).first()[0]
+
+
+def lsh_top_k(
+    vectors: DataFrame,
+    queries: DataFrame,
+    key: str,
+    vec: str,
+    k: int,
+    target: float = 0.95,
+    sample: int = 64,
+    most_tables: int = 64,
+    report: list[tuple[int, float, float]] | None = None,
+) -> DataFrame:
+    """Cosine top-k per query among the vectors that share a bucket of random projections with it.
+
+    The tables (up to ``most_tables``), then the width of their buckets are doubled until ``sample`` of the queries, picked by hash, find
+    ``target`` of their exact neighbours; the exact search is for these few only, unless no setting meets the target: then it answers all
+    queries. Vectors without a direction are left out. A bucket's vectors are spread by a salt. ``report`` receives
+    (tables, width, recall) of each try.
+    """
+    spark = vectors.sparkSession
+    rows = durable.cut(_unit(vectors.select(key, F.col(vec).alias("__v"))), "lsh-rows")
+    asked = durable.cut(_unit(queries.select("query_id", F.col("qvec").alias("__v"))), "lsh-queries")
+    few = asked.withColumn("__h", F.xxhash64("query_id")).orderBy("__h").limit(sample).drop("__h")
+    few = durable.cut(few, "lsh-sample")
+    exact = durable.cut(vector_top_k(rows, few.withColumnRenamed("__v", "qvec"), key, "__v", k), "lsh-exact")
+    tables, width = 4, 0.25
+    while True:
+        model = BucketedRandomProjectionLSH(
+            inputCol="__f", outputCol="__h", numHashTables=tables, bucketLength=width, seed=17).fit(_features(rows))
+        got = recall(_in_buckets(model, rows, few, key, k), exact, key)
+        if report is not None:
+            report.append((tables, width, got))
+        if got >= target:
+            return _in_buckets(model, rows, asked, key, k)
+        if width > 1:  # projections of unit vectors are at most 1, so wider buckets are no different
+            return vector_top_k(rows, asked.withColumnRenamed("__v", "qvec"), key, "__v", k)
+        tables, width = (tables * 2, width) if tables < most_tables else (4, width * 2)
+
+
+def _unit(df: DataFrame) -> DataFrame:
+    """Vectors of length 1, null or zero ones and those with components that are not finite left out."""
+    v = F.col("__v")
+    df = df.withColumn("__v", as_doubles(v)).filter(v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    return df.withColumn("__n", F.sqrt(dot(v, v))).filter("__n > 0").withColumn("__v", F.transform("__v", lambda x: x / F.col("__n"))).drop("__n")
+
+
+def _features(df: DataFrame) -> DataFrame:
+    return df.withColumn("__f", array_to_vector("__v"))
+
+
+def _in_buckets(model, rows: DataFrame, asked: DataFrame, key: str, k: int) -> DataFrame:
+    def buckets(df: DataFrame) -> DataFrame:
+        hashed = model.transform(_features(df)).drop("__f")
+        return hashed.select("*", F.posexplode("__h").alias("__table", "__bucket")).drop("__h").withColumn(
+            "__bucket", vector_to_array("__bucket")[0].cast("long"))
+
+    near = buckets(asked).select("query_id", F.col("__v").alias("__q"), "__table", "__bucket")
+    met = skew.salted_join(buckets(rows), near, ["__table", "__bucket"], [key])
+    # both are of length 1, so the inner product is the cosine; a pair that meets in several tables has one score
+    scored = met.select("query_id", key, dot(F.col("__v"), F.col("__q")).alias("score"))
+    once = scored.groupBy("query_id", key).agg(F.max("score").alias("score"))
+    return skew.top_per_key(once, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
 
 
 def bm25_top_k(docs: DataFrame, queries: dict[int, str], key: str, text: str, k: int) -> DataFrame:

@@ -33,13 +33,33 @@ def test_no_all_pairs_joins(spark, sf_dir, prefix):
             assert not tool.findings(run(spark, sf_dir)), name
 
 
-def test_big_side_is_shuffled_once(spark, sf_dir):
-    """Event pairing: one exchange for the rows; everything else is one row per key and bucket."""
+def test_big_side_is_shuffled_once(spark, sf_dir, monkeypatch):
+    """One exchange and one scan where no key has many rows; with cut keys the rows are still exchanged once, and what else is
+    exchanged has been aggregated to a row per bucket."""
+    from lakeloom.plans import ordered
+
+    for sampled, cut in ((64, False), (2, True)):
+        monkeypatch.setattr(ordered, "SAMPLED", sampled)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            lines = plan(spark, sf_dir, "win_14_sequence_check").splitlines()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        exchanges = [i for i, line in enumerate(lines) if "Exchange" in line and "Broadcast" not in line]
+        raw = [i for i in exchanges if not any("Aggregate" in line or "Window" in line for line in lines[i + 1 : i + 3])]
+        assert len(raw) == 1 and (len(exchanges) > 1) == cut
+
+
+@pytest.mark.parametrize("name", ["mon_02_psi", "mon_05_jensen_shannon", "mon_10_retraining_decision"])
+def test_histograms_exchange_counts_only(spark, sf_dir, name):
+    """With broadcasts off every exchange is above an aggregate, so no raw row is sent by its feature's name."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lines = plan(spark, sf_dir, "win_14_sequence_check").splitlines()
+        text = plan(spark, sf_dir, name)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
-    left = [line for line in lines[join + 1 :] if line.lstrip().startswith(":")]
-    assert sum("Exchange" in line for line in left) == 1
+    lines = text.splitlines()
+    assert "Join" not in text
+    for i, line in enumerate(lines):
+        if "Exchange" in line:
+            assert "Aggregate" in lines[i + 1], lines[i + 1]
