@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lakeloom.catalog._sql import emean, hu
 from lakeloom.functions.literals import exact_mean, half_up
 from lakeloom.operators import aggregates as A
-from lakeloom.plans import ordered, skew
+from lakeloom.operators import sketches
+from lakeloom.plans import durable, ordered, skew
 from lakeloom.registry import query
 
 
@@ -219,6 +220,20 @@ def distinct_sum(t):
         "event_type", "revenue", (F.abs(F.col("est") - F.col("users")) <= F.col("users") * 0.03).alias("close"))
 
 
+@query("agg_21b_tuple_sketch_sets", """
+WITH u AS (SELECT event_type, user_id, sum(value) AS total FROM events GROUP BY 1, 2),
+ n AS (SELECT event_type, count(*) AS items FROM u GROUP BY 1)
+SELECT x.event_type AS a, y.event_type AS b, count(*)::DOUBLE AS in_both, (any_value(p.items) + any_value(q.items) - count(*))::DOUBLE AS in_either,
+ (any_value(p.items) - count(*))::DOUBLE AS only_a, round(sum(x.total), 2) AS total_a_in_both, round(sum(y.total), 2) AS total_b_in_both
+FROM u x JOIN u y ON x.user_id = y.user_id AND x.event_type < y.event_type JOIN n p ON p.event_type = x.event_type JOIN n q ON q.event_type = y.event_type GROUP BY 1, 2
+""")
+def sketch_sets(t):
+    """Users and revenue of each two event types from one sketch; exact up to 65,536 users of a type, as on the given tables."""
+    sketch = durable.cut(sketches.tuple_sketch(t.events, ["event_type"], F.col("user_id"), F.col("value"), 65_536), "sketch")
+    out = sketches.compared(sketch, "event_type")
+    return out.withColumns({c: F.round(c, 2) for c in ("total_a_in_both", "total_b_in_both")})
+
+
 @query("agg_22_column_statistics", """
 SELECT count(*) AS rows, count(*) FILTER (WHERE o_totalprice IS NULL) AS o_totalprice_nulls,
  count(DISTINCT o_totalprice) AS o_totalprice_distinct, count(DISTINCT o_custkey) AS o_custkey_distinct,

@@ -233,10 +233,31 @@ def from_feed(t):
 
 @query("cdc_17_incremental_refresh", "SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
 def refresh(t):
-    aggs = [F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")]
+    """The new orders alone move the stored sums."""
     fresh = F.col("o_orderdate") >= ntz("2001-01-01")
-    stored = t.orders.filter(~fresh).groupBy("o_custkey").agg(*aggs)
-    return H.refresh_touched(stored, t.orders, t.orders.filter(fresh), ["o_custkey"], aggs)
+    stored = durable.cut(H.summed(t.orders.filter(~fresh), ["o_custkey"], "o_totalprice"), "stored")
+    feed = t.orders.filter(fresh).withColumn("_change_type", F.lit("insert"))
+    out = H.refresh_by_deltas(stored, feed, lambda keys: t.orders.join(keys, "o_custkey", "left_semi"), ["o_custkey"], "o_totalprice")
+    return out.select("o_custkey", "n", F.col("total").cast("double").alias("total"))
+
+
+@query("cdc_17b_refresh_after_changes", """
+WITH a AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 10 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 11 <> 0)
+SELECT o_custkey, count(*) AS n, round(sum(price::DECIMAL(18,2))::DOUBLE, 2) AS total, min(price::DECIMAL(18,2))::DOUBLE AS least, max(price::DECIMAL(18,2))::DOUBLE AS most
+FROM a GROUP BY 1
+""")
+def refresh_changes(t):
+    """Inserts, updates and deletes of orders; base rows are read for customers only whose smallest or largest order was retracted."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").alias("price")
+    before = t.orders.filter("o_orderkey % 13 <> 0").select("o_orderkey", "o_custkey", price)
+    after = t.orders.filter("o_orderkey % 11 <> 0").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 5 == 0, price + 10).otherwise(price).cast("decimal(18,2)").alias("price"))
+    base = KeyedTable(t.spark, durable.scratch_dir(t.spark, "orders"), ["o_custkey", "o_orderkey"])
+    base.create(after)
+    feed = durable.cut(H.change_feed(before, after, ["o_orderkey"]), "feed")
+    stored = durable.cut(H.summed(before, ["o_custkey"], "price"), "stored")
+    out = H.refresh_by_deltas(stored, feed, base.rows_of, ["o_custkey"], "price")
+    return out.select("o_custkey", "n", *[F.col(c).cast("double").alias(c) for c in ("total", "least", "most")])
 
 
 @query("cdc_18_snapshot", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'")

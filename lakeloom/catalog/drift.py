@@ -55,20 +55,28 @@ d AS (SELECT feature, sum(b) OVER w / sum(b) OVER (PARTITION BY feature) - sum(c
 """
 
 
-@query("mon_03_kolmogorov_smirnov", f"WITH {BINS_SQL}, {KS_SQL} SELECT feature, round(max(abs(gap)), 6) AS ks FROM d GROUP BY 1")
+@query("mon_03_kolmogorov_smirnov", f"""
+WITH {BINS_SQL}, {KS_SQL}, k AS (SELECT feature, max(abs(gap)) AS ks FROM d GROUP BY 1),
+ n AS (SELECT feature, count(*) FILTER (WHERE side = 'base')::DOUBLE AS n, count(*) FILTER (WHERE side = 'current')::DOUBLE AS m FROM l GROUP BY 1),
+ z AS (SELECT feature, ks, ks * ks * n * m / (n + m) AS z FROM k JOIN n USING (feature))
+SELECT feature, round(ks, 6) AS ks, round(CASE WHEN z < 0.04 THEN 1.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+ list_sum(list_transform(range(1, 101), lambda i: (CASE WHEN i % 2 = 1 THEN 2.0 ELSE -2.0 END)::DOUBLE * exp(-2.0::DOUBLE * z * i * i))))) END, 6) AS p_value FROM z
+""")
 def ks(t):
     out = N.kolmogorov_smirnov(long(t), {"l_quantity": 1.0, "l_extendedprice": 500.0, "l_discount": 0.01})
-    return out.select("feature", F.round("ks", 6).alias("ks"))
+    return out.select("feature", F.round("ks", 6).alias("ks"), F.round("p_value", 6).alias("p_value"))
 
 
 @query("mon_04_chi_square", f"""
 WITH c AS (SELECT l_returnflag AS cat, count(*) FILTER (WHERE {SIDE_SQL} = 'base') AS b, count(*) FILTER (WHERE {SIDE_SQL} = 'current') AS c FROM lineitem GROUP BY 1),
  n AS (SELECT sum(b)::DOUBLE AS nb, sum(c)::DOUBLE AS nc FROM c)
-SELECT round(sum(power(b - (b + c) * nb / (nb + nc), 2) / ((b + c) * nb / (nb + nc)) + power(c - (b + c) * nc / (nb + nc), 2) / ((b + c) * nc / (nb + nc))), 6) AS statistic,
- count(*) - 1 AS df FROM c, n
+SELECT round(x, 6) AS statistic, df, round(exp(-x / 2), 6) AS p_value FROM (SELECT count(*) - 1 AS df,
+ sum(power(b - (b + c) * nb / (nb + nc), 2) / ((b + c) * nb / (nb + nc)) + power(c - (b + c) * nc / (nb + nc), 2) / ((b + c) * nc / (nb + nc))) AS x FROM c, n)
 """)
 def chi(t):
-    return N.chi_square(t.lineitem, side(), "l_returnflag").select(F.round("statistic", 6).alias("statistic"), "df")
+    """Three flags, so two degrees of freedom, for which the tail is exp(-x / 2)."""
+    return N.chi_square(t.lineitem, side(), "l_returnflag").select(
+        F.round("statistic", 6).alias("statistic"), "df", F.round("p_value", 6).alias("p_value"))
 
 
 @query("mon_05_jensen_shannon", f"""

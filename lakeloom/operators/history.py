@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.plans import ordered, skew
+from lakeloom.plans import durable, ordered, skew
 
 
 def close_intervals(
@@ -123,3 +123,38 @@ def refresh_touched(
     touched = changed_keys.select(*keys).distinct()
     again = base.join(touched, list(keys), "left_semi").groupBy(*keys).agg(*aggs)
     return stored.join(touched, list(keys), "left_anti").unionByName(again)
+
+
+def refresh_by_deltas(
+    stored: DataFrame, feed: DataFrame, rows_of: Callable[[DataFrame], DataFrame], keys: Sequence[str], value: str
+) -> DataFrame:
+    """Stored aggregate (keys, n, total, least, most) after the changes of ``feed``, from the changes alone.
+
+    ``feed`` is a change feed (:func:`change_feed`) of the base rows: an update retracts its preimage and adds its postimage. Counts and
+    sums move by the signed changes; ``least`` and ``most`` move unless a retracted value may have been the group's extreme. Only for
+    such groups are base rows needed: ``rows_of`` gets their keys and gives their rows after the changes, and it is not called if there
+    are none. Groups without rows vanish. Sums are decimals of two digits. NULL values count in ``n`` only.
+    """
+    v = F.col(value).cast("decimal(18,2)")
+    adds = F.col("_change_type").isin("insert", "update_postimage")
+    sign = F.when(adds, 1).otherwise(-1)
+    delta = feed.groupBy(*keys).agg(
+        F.sum(sign).alias("dn"), F.sum(v * sign).alias("dtotal"), F.min(F.when(adds, v)).alias("in_least"), F.max(F.when(adds, v)).alias("in_most"),
+        F.min(F.when(~adds, v)).alias("out_least"), F.max(F.when(~adds, v)).alias("out_most"))
+    joined = stored.join(delta.withColumn("__d", F.lit(True)), list(keys), "full").withColumn(
+        "__again", F.coalesce((F.col("out_least") <= F.col("least")) | (F.col("out_most") >= F.col("most")), F.lit(False)))
+    moved = durable.cut(joined.select(
+        *keys, (F.coalesce("n", F.lit(0)) + F.coalesce("dn", F.lit(0))).alias("n"),
+        F.coalesce(F.col("total") + F.col("dtotal"), "total", "dtotal").cast("decimal(38,2)").alias("total"),
+        F.least("least", "in_least").alias("least"), F.greatest("most", "in_most").alias("most"), "__again"), "refresh").filter("n > 0")
+    again = moved.filter("__again").select(*keys)
+    if again.isEmpty():
+        return moved.drop("__again")
+    return moved.filter("NOT __again").drop("__again").unionByName(summed(rows_of(again), keys, value))
+
+
+def summed(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The aggregate that :func:`refresh_by_deltas` keeps."""
+    v = F.col(value).cast("decimal(18,2)")
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.sum(v).cast("decimal(38,2)").alias("total"), F.min(v).alias("least"), F.max(v).alias("most"))

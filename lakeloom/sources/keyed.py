@@ -51,6 +51,18 @@ class KeyedTable:
         folders = [r.folder for r in self.manifest(version).select("folder").collect()]
         return self._rows(folders) if folders else self.read(version - 1).limit(0)
 
+    def rows_of(self, keys: DataFrame) -> DataFrame:
+        """The rows whose key, or its first columns, ``keys`` has; only folders that can hold one are read."""
+        lead = self.keys[: len(keys.columns)]
+        lines = self.manifest().orderBy("low").collect()
+        lows = self.manifest().agg(F.sort_array(F.collect_list(F.struct(*[F.col(f"low.{c}").alias(c) for c in lead]))).alias("lows"))
+        wanted = keys.select(F.struct(*lead).alias("k"), lows.scalar().alias("lows")).distinct()
+        # a key's rows may begin in the last range whose lower end is below it and go on while lower ends equal it
+        first = F.greatest(F.size(F.filter("lows", lambda x: x < F.col("k"))) - 1, F.lit(0))
+        upto = F.greatest(F.size(F.filter("lows", lambda x: x <= F.col("k"))) - 1, F.lit(0))
+        reached = wanted.select(F.explode(F.sequence(first, upto)).alias("b")).distinct().collect()
+        return self._rows([lines[r.b].folder for r in reached] or [lines[0].folder]).join(keys.select(*lead), lead, "left_semi")
+
     def _rows(self, folders: list[str]) -> DataFrame:
         schema = self.spark.read.parquet(folders[0]).schema
         return self.spark.read.schema(schema).parquet(*folders)

@@ -67,6 +67,39 @@ def split_batches(stream: DataFrame, rules: dict[str, Column], label: str) -> tu
     return spark.read.parquet(f"{root}/good/b=*"), spark.read.parquet(f"{root}/bad/b=*")
 
 
+def last_hour_medallion(
+    raw: DataFrame, must: dict[str, Column], expected: dict[str, Column], rules: dict[str, Column], about: DataFrame, on: Column,
+    root: str, max_files: int = 16,
+) -> tuple[DataFrame, DataFrame]:
+    """(gold, report): three chained streams from files of raw rows to counts and sums per region and type over the last hour.
+
+    Bronze keeps the rows with their file; a row that breaks one of ``must`` stops the stream, those of ``expected`` that a row misses are
+    noted. Silver takes the rows that miss none and pass ``rules``, ``max_files`` files at a trigger, joined with ``about`` (which has
+    a region), in a folder per hour. Gold is made anew after each silver batch from the last two hours' folders, which hold the last
+    hour. The report counts bronze rows and the misses of each expectation. ``raw`` is a file stream with ts, event_type and value.
+    """
+    spark = raw.sparkSession
+    missed = F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), n) for n, c in expected.items()]), lambda n: n.isNotNull())
+    bronze = quality.fail_on_bad(raw.select("*", F.col("_metadata.file_path").alias("source_file")), must).withColumn("missed", missed)
+    runner.append_to(bronze, f"{root}/bronze", f"{root}/c1")
+    noted = runner.table_stream(spark, f"{root}/bronze", bronze.schema, max_files)
+    good = quality.drop_bad(noted.filter(F.size("missed") == 0), rules).join(about, on)
+    silver = good.select("ts", "region", "event_type", "value", F.date_format("ts", "yyyyMMddHH").alias("hour"))
+    runner.append_to(silver, f"{root}/silver", f"{root}/c2", by=["hour"])
+
+    def gold() -> DataFrame:
+        rows = spark.read.schema(silver.schema).parquet(f"{root}/silver")
+        start = F.date_format(F.to_timestamp(rows.agg(F.max("hour")).scalar(), "yyyyMMddHH") - F.expr("INTERVAL 1 HOUR"), "yyyyMMddHH")
+        recent = rows.filter(F.col("hour") >= start)
+        recent = recent.filter(F.col("ts") > recent.agg(F.max("ts")).scalar() - F.expr("INTERVAL 1 HOUR"))
+        return recent.groupBy("region", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+    last = runner.replace_each_batch(runner.table_stream(spark, f"{root}/silver", silver.schema, 50 * max_files), f"{root}/gold", gold)
+    report = spark.read.schema(bronze.schema).parquet(f"{root}/bronze").agg(
+        F.count("*").alias("rows"), *[F.count_if(F.array_contains("missed", n)).alias(n) for n in expected])
+    return last, report
+
+
 def upsert_batches(stream: DataFrame, keys: list[str], seq: list[str], label: str) -> DataFrame:
     """Latest row per key, merged batch by batch into ranges of the key; a batch reads and writes only the ranges it reaches.
 

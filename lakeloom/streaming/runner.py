@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,13 +48,29 @@ def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int) -> DataFrame:
+    """The committed files of a folder that a stream writes, ``max_files`` at a trigger."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str, by: Sequence[str] = ()) -> StreamingQuery:
     """Process what is there and stop; a rerun with the same checkpoint goes on where it ended."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    query = (writer.partitionBy(*by) if by else writer).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def append_by_clock(stream: DataFrame, path: str, checkpoint: str, every: str) -> StreamingQuery:
+    """A micro-batch every ``every``, until what is there is processed; then the query is stopped, and a rerun goes on from there."""
     query = (
         stream.writeStream.format("parquet").outputMode("append").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
     )
-    query.awaitTermination()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
     return query
 
 
@@ -77,6 +93,18 @@ def each_batch(stream: DataFrame, label: str, write: Callable[[DataFrame, int, s
     return query, root
 
 
+def replace_each_batch(stream: DataFrame, root: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """After every micro-batch of ``stream`` the table is made anew as ``<root>/v=<batch>``, and a replayed batch writes over its own;
+    returns the table after the last one."""
+    def write(df: DataFrame, batch: int) -> None:
+        make().write.mode("overwrite").parquet(f"{root}/v={batch}")
+
+    query = stream.writeStream.option("checkpointLocation", f"{root}-checkpoint").foreachBatch(write).trigger(availableNow=True).start()
+    query.awaitTermination()
+    versions = stream.sparkSession.read.option("basePath", root).parquet(f"{root}/v=*")
+    return versions.filter(F.col("v") == versions.agg(F.max("v")).scalar()).drop("v")
+
+
 def _write_batch(df: DataFrame, batch: int, root: str) -> None:
     df.withColumn("batch_id", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(f"{root}/out/b={batch}")
 
