@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,8 +11,10 @@ from lakeloom.functions.literals import ntz
 from lakeloom.functions.split import digest100
 from lakeloom.catalog._sql import digest100 as d100
 from lakeloom.plans import durable
+from lakeloom.plans.skew import estimated_bytes
 from lakeloom.registry import query
 from lakeloom.sources import files
+from lakeloom.sources.clustered import ClusteredTable
 from lakeloom.streaming import runner
 
 
@@ -155,11 +159,31 @@ SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS qty FROM lineitem WHERE l_su
 """)
 def compaction(t):
     root = durable.scratch_dir(t.spark, "cluster")
-    files.cluster_by(t.lineitem.select("l_suppkey", "l_shipdate", "l_quantity"), root, ["l_suppkey", "l_shipdate"], 8)
+    files.cluster_by(t.lineitem.select("l_suppkey", "l_shipdate", "l_quantity"), root, ["l_suppkey", "l_shipdate"])
     return t.spark.read.parquet(root).filter(F.col("l_suppkey").between(10, 20)).groupBy("l_suppkey").agg(
         F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
 
 
+@query("src_13b_clustered_on_two_columns", """
+SELECT 'supplier' AS filter, count(*) AS n, sum(l_quantity) AS qty, true AS pruned FROM lineitem WHERE l_suppkey BETWEEN 3 AND 5
+UNION ALL SELECT 'date', count(*), sum(l_quantity), true FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-20'
+UNION ALL SELECT 'both', count(*), sum(l_quantity), true FROM lineitem WHERE l_suppkey BETWEEN 3 AND 5 AND l_shipdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-20'
+""")
+def two_columns(t):
+    """Two arrivals, clustered one by one; a range of either column reads some of the files only. Small tables get 64 files, large ones files of 128 MB."""
+    rows = t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate", "l_quantity")
+    file_bytes = min(files.FILE_BYTES, -(-estimated_bytes(rows) // 64))
+    table = ClusteredTable(t.spark, durable.scratch_dir(t.spark, "curve"), ["l_suppkey", "l_shipdate"], file_bytes)
+    for part in (F.col("l_orderkey") % 4 > 0, F.col("l_orderkey") % 4 == 0):
+        table.add(rows.filter(part).drop("l_orderkey"))
+    supplier, days = (3, 5), (dt.datetime(1997, 3, 1), dt.datetime(1997, 3, 20))
+    found = []
+    for name, bounds in (("supplier", {"l_suppkey": supplier}), ("date", {"l_shipdate": days}), ("both", {"l_suppkey": supplier, "l_shipdate": days})):
+        some, read, every = table.read(**bounds)
+        found.append(some.agg(F.lit(name).alias("filter"), F.count("*").alias("n"), F.sum("l_quantity").alias("qty"), F.lit(read < every).alias("pruned")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query("src_14_generated_events", f"""
 WITH g AS (SELECT c_custkey, n, {d100("c_custkey || ':' || n")} AS h FROM customer, range(1, 6) r(n))
 SELECT CASE WHEN h < 55 THEN 'VIEW' WHEN h < 85 THEN 'CLICK' ELSE 'BUY' END AS kind, count(*) AS n,

@@ -75,6 +75,20 @@ def by_load(df: DataFrame, keys: Sequence[str], order: Sequence[str], borders: D
     return numbered(joined, "__o", "__borders", "__coarse", _B).select(*df.columns, _B)
 
 
+def even_borders(df: DataFrame, columns: Sequence[str], pieces: int) -> DataFrame:
+    """One row with, per column, a sorted array of at most ``pieces`` - 1 structs that cut its values into pieces of about equal size.
+
+    A hash of all columns picks about ``SAMPLED`` rows per piece. NULL sorts first. A value that fills several pieces is one border.
+    """
+    every = F.greatest(F.lit(1), F.floor(df.agg(F.count("*")).scalar() / (pieces * SAMPLED)))
+    picked = df.select(*columns).filter(F.pmod(F.xxhash64(*columns), every) == 0)
+    lists = picked.agg(*[F.sort_array(F.collect_list(F.struct(c))).alias(c) for c in columns])
+    step = F.greatest(F.lit(1), F.ceil(F.size(columns[0]) / pieces)).cast("int")
+    places = F.filter(F.sequence(F.lit(0), F.size(columns[0]), step), lambda i: (i > 0) & (i < F.size(columns[0])))
+    borders = [F.array_distinct(F.transform("__places", lambda i: F.col(c)[i])).alias(c) for c in columns]  # noqa: B023 - called at once
+    return lists.withColumn("__places", places).select(*borders)
+
+
 def with_coarse(df: DataFrame, borders: str, name: str) -> DataFrame:
     """Every 64th of a sorted array of borders, for :func:`numbered`."""
     every = F.sequence(F.lit(0), F.size(borders) - 1, F.lit(64))

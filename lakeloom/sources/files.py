@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.plans import durable
+from lakeloom.plans.skew import estimated_bytes
+
+FILE_BYTES = 128 * 2**20
 
 
 def with_file_metadata(df: DataFrame) -> DataFrame:
@@ -120,6 +123,12 @@ def rescued(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
     return parsed.select(*[c for c in df.columns if c != text], *[F.col(f"__j.{n}").alias(n) for n in schema.names], kept.alias("_rescued_data"))
 
 
-def cluster_by(df: DataFrame, path: str, keys: Sequence[str], files: int) -> None:
-    """Rewrite small files into ``files`` sorted ranges, so min/max statistics prune on the keys."""
+def cluster_by(df: DataFrame, path: str, keys: Sequence[str], files: int | None = None) -> None:
+    """Rewrite small files into sorted ranges, ``files`` of them or as many as the size asks for, so min/max statistics prune on the first key."""
+    files = files or file_count(df)
     df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
+def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Files of about ``file_bytes`` that hold ``df``, by the optimizer's estimate of its size."""
+    return max(1, -(-estimated_bytes(df) // file_bytes))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.plans import durable
 from lakeloom.sources import files
+from lakeloom.sources.clustered import ClusteredTable
 
 SCHEMA = "id long, v string"
 
@@ -93,3 +94,30 @@ def test_open_table(spark, tmp_path):
     source = spark.read.schema("id long").parquet(f"{tmp_path}/in/old name", f"{tmp_path}/in/new")
     assert files.copy_into(source, f"{tmp_path}/out", log) == 1 and files.copy_into(source, f"{tmp_path}/out", log) == 0
     assert sorted(r.id for r in log.table(f"{tmp_path}/out").collect()) == list(range(15))
+
+
+def test_ranges_of_either_column_read_few_files(spark):
+    df = spark.range(20_000).select("id", (F.xxhash64("id") % 1000).alias("a"), F.pmod(F.xxhash64(F.lit("b"), "id"), F.lit(365)).alias("b"),
+                                    F.when(F.col("id") % 50 > 0, F.concat(F.lit("v"), F.col("id").cast("string"))).alias("c"))
+    table = ClusteredTable(spark, durable.scratch_dir(spark, "curve"), ["a", "b"], file_bytes=1)
+    table.file_bytes = max(1, files.estimated_bytes(df.filter("id % 10 < 8")) // 64)
+    table.add(df.filter("id % 10 < 8"))
+    first = {r.file for r in table.ranges().collect()}
+    table.add(df.filter("id % 10 >= 8"))
+    assert first < {r.file for r in table.ranges().collect()}  # earlier files stay
+    for turn in range(2):
+        for bounds, test in (({"a": (-20, 20)}, "a BETWEEN -20 AND 20"), ({"b": (100, 110)}, "b BETWEEN 100 AND 110"),
+                             ({"a": (500, None), "b": (None, 30)}, "a >= 500 AND b <= 30"), ({"a": (5000, None)}, "a > 5000")):
+            rows, read, every = table.read(**bounds)
+            want = df.filter(test)
+            assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+            assert read <= every * 0.4, (bounds, read, every)
+        table.compact()
+        assert len({r.file.rsplit("/", 1)[0] for r in table.ranges().collect()}) == 1
+
+
+def test_nulls_and_one_value_in_a_clustered_column(spark):
+    df = spark.range(500).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"), F.lit(7).alias("b"))
+    table = ClusteredTable(spark, durable.scratch_dir(spark, "curve"), ["a", "b"])
+    table.add(df)
+    assert table.read()[0].exceptAll(df).isEmpty() and table.read(b=(7, 7))[0].count() == 500 and table.read(a=(10, 11))[0].count() == 2
