@@ -103,17 +103,19 @@ def _features(df: DataFrame) -> DataFrame:
 
 
 def _in_buckets(model, rows: DataFrame, asked: DataFrame, key: str, k: int) -> DataFrame:
-    def buckets(df: DataFrame) -> DataFrame:
+    def buckets(df: DataFrame, name: str) -> DataFrame:
         hashed = model.transform(_features(df)).drop("__f")
-        return hashed.select("*", F.posexplode("__h").alias("__table", "__bucket")).drop("__h").withColumn(
-            "__bucket", vector_to_array("__bucket")[0].cast("long"))
-
-    near = buckets(asked).select("query_id", F.col("__v").alias("__q"), "__table", "__bucket")
-    met = skew.salted_join(buckets(rows), near, ["__table", "__bucket"], [key])
-    # both are of length 1, so the inner product is the cosine; a pair that meets in several tables has one score
-    scored = met.select("query_id", key, dot(F.col("__v"), F.col("__q")).alias("score"))
-    once = scored.groupBy("query_id", key).agg(F.max("score").alias("score"))
-    return skew.top_per_key(once, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
+        hashed = hashed.withColumn(name, F.transform("__h", lambda x: vector_to_array(x)[0].cast("long"))).drop("__h")
+        return hashed.select("*", F.posexplode(name).alias("__table", "__bucket"))
+
+    near = buckets(asked, "__asked").select("query_id", F.col("__v").alias("__q"), "__asked", "__table", "__bucket")
+    met = skew.salted_join(buckets(rows, "__own"), near, ["__table", "__bucket"], [key])
+    # a pair that meets in several tables counts in the first one, so pairs need not be gathered to be told apart
+    earlier = F.arrays_zip(F.slice("__own", 1, F.col("__table")), F.slice("__asked", 1, F.col("__table")))
+    first = met.filter(~F.exists(earlier, lambda x: x["0"] == x["1"]))
+    # both are of length 1, so the inner product is the cosine
+    scored = first.select("query_id", key, dot(F.col("__v"), F.col("__q")).alias("score"))
+    return skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
 
 
 def bm25_top_k(docs: DataFrame, queries: dict[int, str], key: str, text: str, k: int) -> DataFrame:
