@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.catalog import _telemetry_sql as S
-from lakeloom.functions.literals import ntz
+from lakeloom.catalog._sql import emean, esum, hu
+from lakeloom.functions.literals import exact_mean, exact_sum, half_up, ntz
 from lakeloom.operators import gold, quality, silver
 from lakeloom.plans import durable
 from lakeloom.registry import query
@@ -106,3 +111,50 @@ def engagement(t):
     voice, iot, streams, errors, ads = (
         cleaned(t, n, known) for n in ("voice_interactions", "iot_interactions", "streaming_quality", "error_events", "ad_funnel"))
     return gold.user_engagement_360(known, viewing, voice, iot, switches, streams, errors, ads)
+
+
+_RECENT = "event_date > (SELECT max(event_date) FROM d) - {days}"
+GOLD_QUESTIONS = f"""
+WITH d AS (SELECT * REPLACE (event_date::DATE AS event_date) FROM ({S.GOLD["daily_viewing_summary"]})),
+ c AS (SELECT * REPLACE (event_date::DATE AS event_date) FROM ({S.GOLD["content_popularity"]})),
+ top AS (SELECT program_title, sum(total_viewers) AS viewers FROM c WHERE event_date > (SELECT max(event_date) FROM c) - 7 AND program_title <> 'Unknown'
+  GROUP BY 1 ORDER BY viewers DESC, program_title LIMIT 10),
+ w AS (SELECT date_trunc('week', event_date)::DATE AS week, {emean("total_viewing_min", 1)} AS mean FROM d WHERE {_RECENT.format(days=30)} GROUP BY 1),
+ g AS (SELECT week, mean, lag(mean) OVER (ORDER BY week) AS before FROM w)
+SELECT 'top_programs' AS question, program_title AS item, viewers::DOUBLE AS result FROM top
+UNION ALL SELECT 'ott_share_by_region', region, {hu(f"{esum('ott_min', 1)} * 100.0::DOUBLE / nullif({esum('ott_min', 1)} + {esum('live_tv_min', 1)}, 0)", 1)} FROM d GROUP BY 2
+UNION ALL SELECT 'minutes_by_day_kind', CASE WHEN dayofweek(event_date) IN (0, 6) THEN 'weekend' ELSE 'weekday' END, {hu(emean("total_viewing_min", 1), 1)} FROM d GROUP BY 2
+UNION ALL SELECT 'primetime_viewers_by_day', dayname(event_date), count(DISTINCT device_id)::DOUBLE FROM d WHERE primetime_min > 0 AND {_RECENT.format(days=30)} GROUP BY 2
+UNION ALL SELECT 'minutes_by_model', model_name, {hu(emean("total_viewing_min", 1), 1)} FROM d JOIN {S.DEVICES} m USING (device_id) GROUP BY 2
+UNION ALL SELECT 'week_over_week_pct', week::VARCHAR, {hu("(mean - before) * 100.0::DOUBLE / before", 1)} FROM g
+"""
+
+
+@query("met_14b_gold_questions", GOLD_QUESTIONS)
+def gold_questions(t):
+    """Six questions over the gold tables: programs, sources by region, kinds of day, primetime, device models and week over week."""
+    known = durable.cut(devices(t), "devices")
+    viewing = durable.cut(cleaned(t, "viewing_sessions", known), "viewing")
+    daily = durable.cut(gold.daily_viewing_summary(viewing, known), "daily")
+    content = gold.content_popularity(viewing, known)
+    minutes = exact_mean("total_viewing_min", 1)
+
+    def recent(df, days):
+        return df.filter(F.col("event_date") > F.date_sub(df.agg(F.max("event_date")).scalar(), days))
+
+    programs = recent(content, 7).filter("program_title <> 'Unknown'").groupBy(F.col("program_title").alias("item")).agg(F.sum("total_viewers").alias("v"))
+    ott, live = exact_sum("ott_min", 1), exact_sum("live_tv_min", 1)
+    kind = F.when(F.dayofweek("event_date").isin(1, 7), "weekend").otherwise("weekday")
+    weekly = recent(daily, 30).groupBy(F.date_trunc("week", "event_date").alias("week")).agg(minutes.alias("mean"))
+    before = F.lag("mean").over(W.orderBy("week"))  # one row per week of a month
+    answers = {
+        "top_programs": programs.orderBy(F.desc("v"), "item").limit(10).select("item", F.col("v").cast("double").alias("result")),
+        "ott_share_by_region": daily.groupBy(F.col("region").alias("item")).agg(half_up(F.try_divide(ott * 100.0, ott + live), 1).alias("result")),
+        "minutes_by_day_kind": daily.groupBy(kind.alias("item")).agg(half_up(minutes, 1).alias("result")),
+        "primetime_viewers_by_day": recent(daily, 30).filter("primetime_min > 0").groupBy(F.date_format("event_date", "EEEE").alias("item")).agg(
+            F.count_distinct("device_id").cast("double").alias("result")),
+        "minutes_by_model": daily.join(known.select("device_id", "model_name"), "device_id").groupBy(F.col("model_name").alias("item")).agg(
+            half_up(minutes, 1).alias("result")),
+        "week_over_week_pct": weekly.select(F.to_date("week").cast("string").alias("item"), half_up((F.col("mean") - before) * 100.0 / before, 1).alias("result")),
+    }
+    return reduce(DataFrame.unionByName, [df.select(F.lit(q).alias("question"), "item", "result") for q, df in answers.items()])
