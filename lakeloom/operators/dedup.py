@@ -19,9 +19,9 @@ def content_key(text: Column) -> Column:
 
 def exact_copies(df: DataFrame, key: str, text: str) -> DataFrame:
     """Every row with the lowest id among its exact copies."""
-    hashed = df.select(key, content_key(F.col(text)).alias("__h"))
-    first = hashed.groupBy("__h").agg(F.min(key).alias("keep_id"))
-    return hashed.join(first, "__h").select(key, "keep_id")
+    hashed = durable.cut(df.select(key, content_key(F.col(text)).alias("__h")), "hashed")
+    first = durable.cut(hashed.groupBy("__h").agg(F.min(key).alias("keep_id"), F.count("*").alias("__n")), "first")
+    return skew.uneven_join(hashed.filter("__h IS NOT NULL"), first.filter("__h IS NOT NULL"), ["__h"], "__n").select(key, "keep_id")
 
 
 def shingles(words: Column, k: int = 3) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.plans import ordered
+from lakeloom.plans import durable, ordered, skew
 
 
 def asof_join(
@@ -110,10 +110,11 @@ def calendar(first: str | Column, last: str | Column, spark, holidays: Mapping[s
 
 
 def linked_to_first(df: DataFrame, group: Sequence[str], id_col: str) -> DataFrame:
-    """(first id, other id) for every group of equal rows: all links, without all pairs."""
+    """(first id, other id) for every group of equal rows: all links, without all pairs; a large group's rows are not sent to one task."""
     firsts = df.groupBy(*group).agg(F.min(id_col).alias("first_id"), F.count("*").alias("copies"))
+    repeated = durable.cut(firsts.filter("copies > 1"), "firsts")
     return (
-        df.join(firsts.filter("copies > 1"), list(group))
+        skew.uneven_join(df, repeated, list(group), "copies")
         .filter(F.col("first_id") < F.col(id_col))
         .select("first_id", F.col(id_col).alias("other_id"), *group)
     )

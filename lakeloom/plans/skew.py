@@ -40,6 +40,22 @@ def salted_join(
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
+HEADS = 10_000
+
+
+def uneven_join(big: DataFrame, small: DataFrame, on: Sequence[str], count: str) -> DataFrame:
+    """Inner equi-join with a table of one row per key that also carries how often the key occurs in ``big``.
+
+    Keys with more than 1/HEADS of all occurrences, of which there are at most HEADS, travel to the rows; only rows of the others are exchanged,
+    so no task gets a hot key. ``small`` is read three times: write it first where it is costly. NULL keys match nothing.
+    """
+    total = small.agg(F.sum(count)).scalar()
+    often = F.col(count) * HEADS > total
+    hot, cold = F.broadcast(small.filter(often)), small.filter(~often)
+    left = big.join(F.broadcast(small.filter(often).select(*on)), list(on), "left_anti")
+    return big.join(hot, list(on)).unionByName(left.join(cold, list(on)))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row per key in ``order``.
 
