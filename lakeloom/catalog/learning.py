@@ -15,6 +15,7 @@ from lakeloom.functions import conditional as C
 from lakeloom.functions.literals import exact_mean, exact_sum, half_up, ntz
 from lakeloom.functions.split import digest100
 from lakeloom.operators import features as L
+from lakeloom.operators import recommend
 from lakeloom.operators import history, quality
 from lakeloom.operators import monitoring as N
 
@@ -170,9 +171,9 @@ def als(t):
     finally:
         train.unpersist()
         test.unpersist()
-    recs = best[1].recommendForAllUsers(3)  # 25 brands, so the score matrix stays linear in the customers
-    return recs.select("cust", F.posexplode("recommendations").alias("pos", "r")).join(items, F.col("r.item_no") == F.col("item_no")).select(
-        "cust", (F.col("pos") + 1).alias("rank"), F.col("p_brand").alias("brand"), F.round("r.rating", 2).alias("score"))
+    recs = recommend.top_items(best[1].userFactors, best[1].itemFactors, 3)
+    return recs.join(items, F.col("item") == F.col("item_no")).select(
+        F.col("user").cast("int").alias("cust"), F.col("rank").cast("int").alias("rank"), F.col("p_brand").alias("brand"), F.round("score", 2).alias("score"))
 
 
 PART_SQL = f"""
