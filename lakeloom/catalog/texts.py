@@ -115,7 +115,22 @@ def copies(t):
     return D.exact_copies(t.spread("documents", "doc_id"), "doc_id", "text")
 
 
-@query("txt_08_near_duplicate_groups")
+NEAR_SQL = f"""
+WITH RECURSIVE k AS (SELECT doc_id, {HASH_SQL} AS h, {TOK} AS w FROM documents),
+ u AS (SELECT min(doc_id) AS id, any_value(w) AS w FROM k GROUP BY h),
+ s AS (SELECT id, list_distinct(list_transform(range(0, greatest(len(w) - 2, 1)), lambda i: concat_ws(' ', w[i + 1], w[i + 2], w[i + 3]))) AS ss FROM u),
+ e AS MATERIALIZED (SELECT id, len(ss) AS n, unnest(ss) AS x FROM s),
+ p AS (SELECT a.id AS a, b.id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS m FROM e a JOIN e b
+  ON a.x = b.x AND a.id < b.id AND least(a.n, b.n) >= 0.85 * greatest(a.n, b.n) GROUP BY 1, 2),
+ l AS (SELECT a, b FROM p WHERE m::DOUBLE / (na + nb - m) >= 0.85::DOUBLE
+  UNION SELECT min(doc_id) OVER (PARTITION BY h) AS a, doc_id AS b FROM k QUALIFY a < b),
+ g AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+ r AS (SELECT a AS node, b AS other FROM g UNION SELECT r.node, g.b FROM r JOIN g ON g.a = r.other)
+SELECT node AS doc_id, least(node, min(other)) AS group_id FROM r GROUP BY node
+"""
+
+
+@query("txt_08_near_duplicate_groups", NEAR_SQL)
 def near(t):
     return D.near_duplicate_groups(t.spread("documents", "doc_id"), "doc_id", "text", 0.85)
 
