@@ -206,12 +206,12 @@ def extractive_summary(docs: DataFrame, key: str, text: str, n: int) -> DataFram
     """The ``n`` sentences with the highest mean inverse document frequency, in original order."""
     parts = docs.select(key, F.posexplode(F.split(text, r"[.!?]\s+")).alias("pos", "sentence"))
     words = parts.select(key, "pos", each_token(F.col("sentence")).alias("w")).filter("w IS NOT NULL")
-    counted = durable.cut(words.groupBy(key, "pos", "w").agg(F.count("*").alias("tf")), "sentence-words")
-    freq = durable.cut(counted.select(key, "w").distinct().groupBy("w").agg(F.count("*").alias("df")), "word-documents")
-    total = docs.agg(F.count("*"))
-    idf = F.log(total.scalar() / F.col("df"))
-    # words of many documents travel to the sentences, so no task gets all of a stop word's
-    scored = skew.uneven_join(counted, freq, ["w"], "df").groupBy(key, "pos").agg(F.round(F.sum(F.col("tf") * idf) / F.sum("tf"), 6).alias("score"))
+    # a document's distinct words are found in its row, so only counts per word are exchanged
+    freq = docs.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    freq = durable.cut(freq, "word-documents")
+    idf = F.log(docs.agg(F.count("*")).scalar() / F.col("df"))
+    # words of many documents travel to the sentences, so most words stay where they are; the mean over all words weighs each by its count
+    scored = skew.uneven_join(words, freq, ["w"], "df", apart=True).groupBy(key, "pos").agg(F.round(F.avg(idf), 6).alias("score"))
     best = skew.top_per_key(scored, [key], [F.desc("score"), F.asc("pos")], n, "rank")
     chosen = parts.join(best, [key, "pos"])
     ordered_list = F.sort_array(F.collect_list(F.struct("pos", "sentence")))
