@@ -75,3 +75,18 @@ def test_star_keeps_order_lines_of_any_year(t):
         business = ~F.dayofweek(day).isin(1, 7) & ~F.date_format(day, "MM-dd").isin(*joining.HOLIDAYS)
         want = joining._star(moved).filter(business).count()
         assert want > 0 and joining.star_by_fiscal_quarter(moved).agg(F.sum("lines")).first()[0] == want
+
+
+def test_uneven_join_meets_every_row_once(spark, monkeypatch):
+    """A key with half of the rows, keys of one row, a key that the small side lacks, NULL keys; also grouped afterwards on another key."""
+    monkeypatch.setattr(skew, "HEADS", 10)
+    big = spark.range(2000).select(
+        "id", (F.col("id") % 50).alias("g"), F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 7 > 0, F.col("id")).alias("k")).repartition(8, "g")
+    small = big.filter("k IS NOT NULL AND k <> 9").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    for apart in (False, True):
+        got = skew.uneven_join(big, small, ["k"], "n", apart)
+        want = big.join(small, "k")
+        assert got.select("id", "last").exceptAll(want.select("id", "last")).isEmpty() and got.count() == want.count()
+    sums = skew.uneven_join(big, small, ["k"], "n", apart=True).groupBy("g").agg(F.count("*").alias("c"), F.sum("last").alias("s"))
+    want = want.groupBy("g").agg(F.count("*").alias("c"), F.sum("last").alias("s"))
+    assert sums.count() == 50 and sums.exceptAll(want).isEmpty()
