@@ -211,7 +211,7 @@ def extractive_summary(docs: DataFrame, key: str, text: str, n: int) -> DataFram
     freq = durable.cut(freq, "word-documents")
     idf = F.log(docs.agg(F.count("*")).scalar() / F.col("df"))
     # words of many documents travel to the sentences, so most words stay where they are; the mean over all words weighs each by its count
-    scored = skew.uneven_join(words, freq, ["w"], "df", apart=True).groupBy(key, "pos").agg(F.round(F.avg(idf), 6).alias("score"))
+    scored = skew.uneven_join(words, freq, ["w"], "df", apart=True, heads=100_000).groupBy(key, "pos").agg(F.round(F.avg(idf), 6).alias("score"))
     best = skew.top_per_key(scored, [key], [F.desc("score"), F.asc("pos")], n, "rank")
     chosen = parts.join(best, [key, "pos"])
     ordered_list = F.sort_array(F.collect_list(F.struct("pos", "sentence")))

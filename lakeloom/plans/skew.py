@@ -43,16 +43,17 @@ def salted_join(
 HEADS = 10_000
 
 
-def uneven_join(big: DataFrame, small: DataFrame, on: Sequence[str], count: str, apart: bool = False) -> DataFrame:
+def uneven_join(big: DataFrame, small: DataFrame, on: Sequence[str], count: str, apart: bool = False,
+                heads: int | None = None) -> DataFrame:
     """Inner equi-join with a table of one row per key that also carries how often the key occurs in ``big``.
 
-    Keys with more than 1/HEADS of all occurrences, of which there are at most HEADS, travel to the rows; only rows of the others are exchanged,
+    Keys with more than 1/``heads`` (HEADS, if not given) of all occurrences, of which there are at most ``heads``, travel to the rows; only rows of the others are exchanged,
     so no task gets a hot key. ``small`` is read three times: write it first where it is costly. NULL keys match nothing. Set ``apart`` if the
     result is grouped: the rest is then exchanged however small it is, else a union of two parts that look alike partitioned is grouped without an
     exchange, which splits groups when adaptive execution has merged their partitions differently.
     """
     total = small.agg(F.sum(count)).scalar()
-    often = F.col(count) * HEADS > total
+    often = F.col(count) * (heads or HEADS) > total
     hot, cold = F.broadcast(small.filter(often)), small.filter(~often)
     left = big.join(F.broadcast(small.filter(often).select(*on)), list(on), "left_anti")
     return big.join(hot, list(on)).unionByName(left.join(cold.hint("merge") if apart else cold, list(on)))
