@@ -31,12 +31,16 @@ def salted_join(
     """Equi-join whose hot keys are spread over ``salts`` tasks.
 
     The salt is a hash of the row id, so a retried task sends each row to the same place. Valid for
-    ``inner``, ``left`` and ``left_semi``, where every big row still meets each match once.
+    ``inner``, ``left`` and ``left_semi``, where every big row still meets each match once. The optimizer's estimate of the small side
+    does not count its ``salts`` copies, so where only the single table is small enough to be broadcast, the copies are exchanged.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"salting does not keep {how} joins intact")
     left = big.withColumn("__salt", F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int"))
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    once, most = estimated_bytes(small), small.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if once <= most < once * salts:
+        right = right.hint("merge")
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 

@@ -21,6 +21,17 @@ def test_salted_equals_plain(t):
         assert salted.select(plain.columns).exceptAll(plain).isEmpty() and salted.count() == plain.count()
 
 
+def test_salted_copies_are_not_broadcast_where_one_table_could_be(spark):
+    """800 KB travel, their 16 copies (the optimizer does not count them) do not."""
+    big = spark.range(400_000).select((F.col("id") % 100_000).alias("k"), "id")
+    small = spark.range(100_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    salted = skew.salted_join(big, small, ["k"], ["id"])
+    assert "Broadcast" not in salted._jdf.queryExecution().sparkPlan().toString()
+    assert salted.exceptAll(big.join(small, "k").select(salted.columns)).isEmpty() and salted.count() == 400_000
+    few = skew.salted_join(big, small.filter("k < 10").limit(10), ["k"], ["id"])
+    assert "Broadcast" in few._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_point_in_time_sees_only_the_past(spark):
     labels = spark.createDataFrame([(1, at(120))], "k long, event_time timestamp_ntz")
     feats = spark.createDataFrame(
