@@ -15,6 +15,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Rows, counted, times the width of their types: what ``df`` holds in memory, however well its files are compressed."""
+    return df.count() * df._jdf.schema().defaultSize()
+
+
 def checked_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only where the estimated size is bounded; otherwise adaptive execution chooses the join by the real size."""
     return F.broadcast(df) if estimated_bytes(df) <= most else df
@@ -32,14 +37,15 @@ def salted_join(
 
     The salt is a hash of the row id, so a retried task sends each row to the same place. Valid for
     ``inner``, ``left`` and ``left_semi``, where every big row still meets each match once. The optimizer's estimate of the small side
-    does not count its ``salts`` copies, so where only the single table is small enough to be broadcast, the copies are exchanged.
+    neither counts its ``salts`` copies nor knows how far its files are compressed, so where a broadcast is planned by it, the rows are counted, and
+    copies that are too many to be broadcast are exchanged.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"salting does not keep {how} joins intact")
     left = big.withColumn("__salt", F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int"))
     right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     once, most = estimated_bytes(small), small.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if once <= most < once * salts:
+    if once <= most and max(once, row_bytes(small)) * salts > min(most, BROADCAST_BYTES):
         right = right.hint("merge")
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from lakeloom.operators import joins
-from lakeloom.plans import skew
+from lakeloom.plans import durable, skew
 
 T0 = dt.datetime(2024, 1, 1, 12)
 
@@ -32,6 +32,18 @@ def test_salted_copies_are_not_broadcast_where_one_table_could_be(spark):
     assert "Broadcast" in few._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_salted_copies_of_well_compressed_files_are_not_broadcast(spark):
+    """The files of the small side have some KB, the copies of its rows more than 60 MB."""
+    path = durable.scratch_dir(spark, "test-salted")
+    spark.range(200_000).select((F.col("id") % 50).alias("k"), F.lit("one text").alias("v")).coalesce(1).write.parquet(path)
+    small = spark.read.parquet(path)
+    assert skew.estimated_bytes(small) * 16 < 2**20
+    big = spark.range(100).select((F.col("id") % 60).alias("k"), "id")
+    salted = skew.salted_join(big, small, ["k"], ["id"])
+    assert "Broadcast" not in salted._jdf.queryExecution().sparkPlan().toString()
+    assert salted.count() == 90 * 4000
+
+
 def test_point_in_time_sees_only_the_past(spark):
     labels = spark.createDataFrame([(1, at(120))], "k long, event_time timestamp_ntz")
     feats = spark.createDataFrame(
