@@ -49,6 +49,8 @@ PLAY, STOP = ["START", "PLAY"], ["STOP", "PAUSE", "END"]
 COMMAND, ACK = ["COMMAND", "REQUEST"], ["ACK", "RESPONSE", "RESULT"]
 INSTALL_FAILED, INSTALL_DONE = ["FAILED", "ERROR", "TIMEOUT", "ABORTED"], ["SUCCESS", "COMPLETED"]
 
+ROWS_PER_PART = 250_000
+
 RULES = {
     "viewing_sessions": {
         "valid_duration": "duration_sec BETWEEN 0 AND 86400",
@@ -110,9 +112,12 @@ def viewing_sessions_checked(raw: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def system_metrics_checked(raw: DataFrame, known: DataFrame) -> DataFrame:
-    mine = raw.join(known.select("device_id"), "device_id", "left_semi").dropDuplicates(["device_id", "ts"])
+    # a slot's rows meet once, for both steps, in as many parts as keep what a task groups small
+    parts = max(raw.sparkSession.sparkContext.defaultParallelism, -(-raw.count() // ROWS_PER_PART))
+    mine = raw.join(known.select("device_id"), "device_id", "left_semi").withColumn("slot", time_floor("ts", 300))
+    mine = mine.repartition(parts, "device_id", "slot").dropDuplicates(["device_id", "ts", "slot"])
     clean = mine.select(
-        "device_id", time_floor("ts", 300).alias("slot"),
+        "device_id", "slot",
         *[C.clip(F.col(c), 0, 100).alias(c) for c in ("cpu_usage_pct", "mem_used_pct", "gpu_usage_pct")],
         *[C.null_outside(F.col(c), 0, 100).alias(c) for c in ("thermal_zone_0_c", "thermal_zone_1_c")],
         "mem_total_kb", "mem_available_kb", "swap_used_kb", "thermal_throttle_active", "storage_available_mb",

@@ -63,3 +63,18 @@ def test_histograms_exchange_counts_only(spark, sf_dir, name):
     for i, line in enumerate(lines):
         if "Exchange" in line:
             assert "Aggregate" in lines[i + 1], lines[i + 1]
+
+
+def test_metrics_are_grouped_in_parts_that_follow_the_rows(t, monkeypatch):
+    """Repeats and slots are found after one exchange, whose parts hold a bounded number of rows."""
+    from lakeloom.catalog import telemetry
+    from lakeloom.operators import silver
+
+    want = telemetry.everything(t, "system_metrics")
+    rows = want.collect()
+    monkeypatch.setattr(silver, "ROWS_PER_PART", 50)
+    small = telemetry.everything(t, "system_metrics")
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(device_id" in x and "slot" in x]) == 1
+    assert small.rdd.getNumPartitions() >= t.events.count() // 50
+    assert sorted(map(str, small.collect())) == sorted(map(str, rows))
