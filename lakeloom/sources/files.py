@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.plans import durable
-from lakeloom.plans.skew import estimated_bytes
+from lakeloom.plans.skew import estimated_bytes, row_bytes
 
 FILE_BYTES = 128 * 2**20
+SORT_BYTES = 256 * 2**20
 
 
 def with_file_metadata(df: DataFrame) -> DataFrame:
@@ -130,5 +131,8 @@ def cluster_by(df: DataFrame, path: str, keys: Sequence[str], files: int | None
 
 
 def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
-    """Files of about ``file_bytes`` that hold ``df``, by the optimizer's estimate of its size."""
-    return max(1, -(-estimated_bytes(df) // file_bytes))
+    """Files of about ``file_bytes`` that hold ``df``, by the optimizer's estimate of its size.
+
+    A file is sorted by one task, so there are more of them where the rows, counted, would fill more than ``SORT_BYTES`` of its memory.
+    """
+    return max(1, -(-estimated_bytes(df) // file_bytes), -(-row_bytes(df) // SORT_BYTES))

@@ -116,6 +116,16 @@ def test_ranges_of_either_column_read_few_files(spark):
         assert len({r.file.rsplit("/", 1)[0] for r in table.ranges().collect()}) == 1
 
 
+def test_well_compressed_rows_are_sorted_by_several_tasks(spark, monkeypatch):
+    """Files of some KB whose rows hold 800 KB: the size of the files alone would make it one task."""
+    path = durable.scratch_dir(spark, "test-compaction")
+    spark.range(100_000).select(F.lit(7).cast("bigint").alias("v")).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert files.estimated_bytes(df) < 100_000 and files.file_count(df) == 1
+    monkeypatch.setattr(files, "SORT_BYTES", 100_000)
+    assert files.file_count(df) == 8
+
+
 def test_nulls_and_one_value_in_a_clustered_column(spark):
     df = spark.range(500).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"), F.lit(7).alias("b"))
     table = ClusteredTable(spark, durable.scratch_dir(spark, "curve"), ["a", "b"])
