@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -123,23 +126,42 @@ STATE = "n long, first_us long, last_us long, spent double"
 OUT = "user_id long, part long, n long, first_us long, last_us long, spent double"
 
 
+COMBINED = "user_id long, part long, n long, first_us long, last_us long, spent double"
+
+
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per user and part of a batch of rows."""
+    for b in batches:
+        sums = pa.Table.from_batches([b]).group_by(["user_id", "part"]).aggregate(
+            [([], "count_all"), ("us", "min"), ("us", "max"), ("value", "sum")])
+        yield from sums.select(["user_id", "part", "count_all", "us_min", "us_max", "value_sum"]).rename_columns(
+            ["user_id", "part", "n", "first_us", "last_us", "spent"]).to_batches()
+
+
 def _advance(key, chunks, state: GroupState):
     n, first, last, spent = state.get if state.exists else (0, 2**62, -(2**62), 0.0)
     for c in chunks:
-        n += len(c)
-        first, last = min(first, int(c["us"].min())), max(last, int(c["us"].max()))
-        spent += float(c["value"].sum())
+        timed = c.dropna(subset=["first_us"])
+        n += int(c["n"].sum())
+        if len(timed):
+            first, last = min(first, int(timed["first_us"].min())), max(last, int(timed["last_us"].max()))
+        spent += float(c["spent"].sum())
     state.update((n, first, last, spent))
     import pandas as pd
 
-    yield pd.DataFrame([(*key, n, first, last, spent)], columns=["user_id", "part", "n", "first_us", "last_us", "spent"])
+    span = (first, last) if first <= last else (None, None)
+    yield pd.DataFrame([(*key, n, *span, spent)], columns=["user_id", "part", "n", "first_us", "last_us", "spent"])
+
 
+def user_state(events: DataFrame, parts: int = 1) -> DataFrame:
+    """Running state per (user, part).
 
-def user_state(events: DataFrame, parts: int = 8) -> DataFrame:
-    """Running state per (user, part): a hot user is kept in ``parts`` small states to be merged later."""
+    A task sends one row per user and batch of its rows to the state, so a hot user sends few of them and needs no more than one part.
+    """
     keyed = events.select(
         "user_id", F.pmod("event_id", F.lit(parts)).alias("part"), F.unix_micros("ts").alias("us"), "value")
-    return keyed.groupBy("user_id", "part").applyInPandasWithState(_advance, OUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    return keyed.mapInArrow(_combine, COMBINED).groupBy("user_id", "part").applyInPandasWithState(
+        _advance, OUT, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def merge_user_state(states: DataFrame) -> DataFrame:

@@ -37,6 +37,19 @@ def test_state_over_several_batches_equals_batch(spark, t):
     assert got.select("user_id", "events").exceptAll(want).isEmpty() and got.count() == want.count()
 
 
+def test_a_user_is_one_state_and_a_hot_one_sends_few_rows(spark, t):
+    root = durable.scratch_dir(spark, "test-state-rows")
+    t.events.coalesce(1).write.parquet(f"{root}/in/a")
+    hot = t.events.select("event_id", "ts", F.lit(-1).cast("bigint").alias("user_id"), "event_type", "value", "props")
+    hot.coalesce(1).write.parquet(f"{root}/in/b")
+    raw = runner.file_stream(spark, f"{root}/in/*", t.events.schema)
+    query, out = runner.each_batch(jobs.user_state(runner.event_time(raw, "ts", "60 days")), "test-rows", runner._write_batch, "update")
+    assert query.lastProgress.stateOperators[0].numRowsTotal == t.events.select("user_id").distinct().count() + 1
+    got = jobs.merge_user_state(spark.read.parquet(f"{out}/out/b=*")).filter("user_id = -1").first()
+    want = t.events.agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("s")).first()
+    assert got.events == want.n and abs(got.spent - want.s) < 0.02
+
+
 def test_quarantine_keeps_every_row(spark, t):
     root = _folder(t, spark)
     raw = runner.file_stream(spark, f"{root}/in/*", t.events.schema, max_files=2)
