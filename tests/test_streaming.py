@@ -103,3 +103,22 @@ def test_open_sessions_over_batches_and_restarts(spark):
     assert got == _pairs(events, 300 * second, mark)
     # what is left in the state: events behind the mark, a day's open sessions, and one timer and its time per key
     assert last.lastProgress.stateOperators[0].numRowsTotal < 120
+
+
+def test_sessions_of_many_keys_share_a_state(spark):
+    """40 users and one NULL in three states give the sessions of one state each."""
+    rng = random.Random(5)
+    second = 1_000_000
+    events = [(rng.choice([None, *range(40)]), (i + 1) * 20 * second, i, rng.choice(["start", "start", "stop"])) for i in range(400)]
+    path = durable.scratch_dir(spark, "test-slots")
+    schema = "user_id long, us long, n long, kind string"
+    spark.createDataFrame(events, schema).withColumn("ts", F.timestamp_micros("us")).drop("us").coalesce(1).write.parquet(f"{path}/in/a")
+    raw = runner.file_stream(spark, f"{path}/in/*", spark.read.parquet(f"{path}/in/a").schema).withWatermark("ts", "2 minutes")
+    pairs = pairing.pair_sessions(raw, "user_id", "n", "ts", F.col("kind") == "start", F.col("kind") == "stop", 30, slots=3)
+    with runner.settings(spark, runner.STATE_STORE):
+        last = runner.append_to(pairs, f"{path}/out", f"{path}/checkpoint")
+    mark = events[-1][1] - 120 * second
+    got = sorted(str(tuple(r)) for r in spark.read.parquet(f"{path}/out").select(
+        "user_id", "start_id", "start_us", "stop_id", "stop_us", "outcome").collect())
+    assert got == _pairs(events, 1800 * second, mark)
+    assert last.lastProgress.stateOperators[0].customMetrics["numRegisteredTimers"] <= 3 * 2
