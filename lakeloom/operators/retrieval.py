@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakeloom.functions.text import each_token, tokens
 from lakeloom.plans import durable, ordered, skew
@@ -16,6 +20,7 @@ from lakeloom.plans import durable, ordered, skew
 K1, B = 1.2, 0.75
 RRF_CONSTANT = 60
 QUERIES_PER_BLOCK = 1000
+ROWS_PER_TILE, LEAST_ROWS_PER_TILE, QUERIES_PER_TILE = 65_536, 4_096, 16_384
 
 
 def as_doubles(v: Column) -> Column:
@@ -68,26 +73,30 @@ def lsh_top_k(
 
     The tables (up to ``most_tables``), then the width of their buckets are doubled until ``sample`` of the queries, picked by hash, find
     ``target`` of their exact neighbours; the exact search is for these few only, unless no setting meets the target: then it answers all
-    queries. Vectors without a direction are left out. A bucket's vectors are spread by a salt. ``report`` receives
-    (tables, width, recall) of each try.
+    queries. A try hashes these queries and neighbours alone. Vectors without a direction are left out. The pairs to compare are as many as
+    buckets hold, of vectors without structure nearly all; tasks compare them in tiles. ``report`` receives (tables, width, recall) of each try.
     """
-    spark = vectors.sparkSession
     rows = durable.cut(_unit(vectors.select(key, F.col(vec).alias("__v"))), "lsh-rows")
     asked = durable.cut(_unit(queries.select("query_id", F.col("qvec").alias("__v"))), "lsh-queries")
     few = asked.withColumn("__h", F.xxhash64("query_id")).orderBy("__h").limit(sample).drop("__h")
     few = durable.cut(few, "lsh-sample")
-    exact = durable.cut(vector_top_k(rows, few.withColumnRenamed("__v", "qvec"), key, "__v", k), "lsh-exact")
+    # a neighbour is found if it shares a bucket with its query, as all that it is compared with are no nearer than in the exact search
+    exact = _in_tiles(_one_bucket(rows), _one_bucket(few), key, k).select("query_id", key)
+    exact = exact.join(rows, key, "left").withColumnRenamed("__v", "__near").join(few, "query_id", "left")
+    exact = durable.cut(exact.select(F.coalesce("__near", "__v").alias("__near"), "__v", F.col("__near").isNull().alias("__lost")), "lsh-exact")
     tables, width = 4, 0.25
     while True:
         model = BucketedRandomProjectionLSH(
             inputCol="__f", outputCol="__h", numHashTables=tables, bucketLength=width, seed=17).fit(_features(rows))
-        got = recall(_in_buckets(model, rows, few, key, k), exact, key)
+        pairs = _hashed(model, _hashed(model, exact, "__asked").drop("__v").withColumnRenamed("__near", "__v"), "__own")
+        hit = F.exists(F.arrays_zip("__own", "__asked"), lambda x: x["__own"] == x["__asked"]) & ~F.col("__lost")
+        got = pairs.agg(F.coalesce(F.avg(hit.cast("int")), F.lit(1.0))).first()[0]
         if report is not None:
             report.append((tables, width, got))
         if got >= target:
-            return _in_buckets(model, rows, asked, key, k)
+            return _in_tiles(_buckets(model, rows), _buckets(model, asked), key, k)
         if width > 1:  # projections of unit vectors are at most 1, so wider buckets are no different
-            return vector_top_k(rows, asked.withColumnRenamed("__v", "qvec"), key, "__v", k)
+            return _in_tiles(_one_bucket(rows), _one_bucket(asked), key, k)
         tables, width = (tables * 2, width) if tables < most_tables else (4, width * 2)
 
 
@@ -102,22 +111,86 @@ def _features(df: DataFrame) -> DataFrame:
     return df.withColumn("__f", array_to_vector("__v"))
 
 
-def _in_buckets(model, rows: DataFrame, asked: DataFrame, key: str, k: int) -> DataFrame:
-    def buckets(df: DataFrame, name: str) -> DataFrame:
-        hashed = model.transform(_features(df)).drop("__f")
-        hashed = hashed.withColumn(name, F.transform("__h", lambda x: vector_to_array(x)[0].cast("long"))).drop("__h")
-        return hashed.select("*", F.posexplode(name).alias("__table", "__bucket"))
+def _hashed(model, df: DataFrame, name: str) -> DataFrame:
+    hashed = model.transform(_features(df)).drop("__f")
+    return hashed.withColumn(name, F.transform("__h", lambda x: vector_to_array(x)[0].cast("long"))).drop("__h")
 
-    near = buckets(asked, "__asked").select("query_id", F.col("__v").alias("__q"), "__asked", "__table", "__bucket")
-    met = skew.salted_join(buckets(rows, "__own"), near, ["__table", "__bucket"], [key])
-    # a pair that meets in several tables counts in the first one, so pairs need not be gathered to be told apart
-    earlier = F.arrays_zip(F.slice("__own", 1, F.col("__table")), F.slice("__asked", 1, F.col("__table")))
-    first = met.filter(~F.exists(earlier, lambda x: x["0"] == x["1"]))
-    # both are of length 1, so the inner product is the cosine
-    scored = first.select("query_id", key, dot(F.col("__v"), F.col("__q")).alias("score"))
+
+def _buckets(model, df: DataFrame) -> DataFrame:
+    return _hashed(model, df, "__own").select("*", F.posexplode("__own").alias("__table", "__bucket"))
+
+
+def _one_bucket(df: DataFrame) -> DataFrame:
+    return df.select("*", F.array(F.lit(0).cast("long")).alias("__own"), F.lit(0).alias("__table"), F.lit(0).cast("long").alias("__bucket"))
+
+
+def _in_tiles(rows: DataFrame, asked: DataFrame, key: str, k: int) -> DataFrame:
+    """Cosine top-k per query among the vectors in its buckets; all are of length 1, so the inner product is the cosine.
+
+    A bucket is cut into tiles of at most about ROWS_PER_TILE vectors and QUERIES_PER_TILE queries, so a task holds one tile, however large a
+    bucket. A pair that meets in several tables counts in the first one.
+    """
+    place = ["__table", "__bucket"]
+    sizes = rows.groupBy(place).agg(F.count("*").alias("__n")).join(asked.groupBy(place).agg(F.count("*").alias("__m")), place)
+    # few buckets of unit vectors: their projections are at most 1; small buckets are cut too, so that no task gets half of the pairs
+    per_tile = F.least(F.lit(ROWS_PER_TILE), F.greatest(F.lit(LEAST_ROWS_PER_TILE), F.ceil(F.col("__n") / 32)))
+    sizes = durable.cut(sizes.select(*place, F.ceil(F.col("__n") / per_tile).alias("__salts"),
+                                     F.ceil(F.col("__m") / QUERIES_PER_TILE).alias("__blocks")), "lsh-sizes")
+
+    def cut(df: DataFrame, row: str, own: str, every: str, ours: str, others: str) -> DataFrame:
+        return df.join(F.broadcast(sizes), place).withColumn(ours, F.pmod(F.xxhash64(row, "__v"), F.col(own))).withColumn(
+            others, F.explode(F.sequence(F.lit(0).cast("long"), F.col(every) - 1))).drop("__salts", "__blocks")
+
+    tile = [*place, "__salt", "__block"]
+    left = cut(rows, key, "__salts", "__blocks", "__salt", "__block").groupBy(tile)
+    right = cut(asked, "query_id", "__blocks", "__salts", "__block", "__salt").groupBy(tile)
+    schema = StructType([asked.schema["query_id"], rows.schema[key], StructField("score", DoubleType())])
+    scored = left.cogroup(right).applyInArrow(lambda a, b: _tile_top_k(a, b, key, k), schema)
     return skew.top_per_key(scored, ["query_id"], [F.desc("score"), F.asc(key)], k, "rank")
 
 
+def _tile_top_k(rows: pa.Table, asked: pa.Table, key: str, k: int) -> pa.Table:
+    """query_id, key, score of the k best rows of each query of a tile, without those that share a bucket in an earlier table.
+
+    A pair among the best of all is among the best of the tile where it first meets, so earlier pairs may be left out after the choice. Single
+    precision chooses with a margin above its error; the scores are sums in double precision, in the order of the components.
+    """
+    found = pa.schema([asked.schema.field("query_id"), rows.schema.field(key), pa.field("score", pa.float64())])
+    if not rows.num_rows or not asked.num_rows:
+        return found.empty_table()
+    table = rows.column("__table")[0].as_py()
+    rows = rows.take(pc.sort_indices(rows, sort_keys=[(key, "ascending")], null_placement="at_start"))
+    v, q = _matrix(rows, "__v"), _matrix(asked, "__v")
+    # of equal vectors only the first k by key can be among the best
+    same = np.unique(v.view(np.dtype((np.void, v.dtype.itemsize * v.shape[1]))).ravel(), return_inverse=True)[1].ravel()
+    order = np.argsort(same, kind="stable")
+    first = np.searchsorted(same[order], same[order])
+    kept = np.sort(order[np.arange(len(order)) - first < k])
+    rows, v = rows.take(kept), v[kept]
+    own, their = _matrix(rows, "__own"), _matrix(asked, "__own")
+    low, margin = np.ascontiguousarray(v.T, np.float32), 4 * (v.shape[1] + 4) * float(np.finfo(np.float32).eps)
+    out = []
+    for i in range(0, len(q), max(1, 4_000_000 // len(v))):
+        part = q[i:i + max(1, 4_000_000 // len(v))]
+        rough = part.astype(np.float32) @ low
+        least = np.partition(rough, len(v) - k, 1)[:, len(v) - k] if len(v) > k else np.full(len(part), -np.inf, np.float32)
+        at, row = np.nonzero(rough >= (least - np.float32(margin))[:, None])
+        score = np.zeros(len(at))
+        for j in range(v.shape[1]):
+            score += v[row, j] * part[at, j]
+        best = np.lexsort((row, -score, at))
+        at, row, score = at[best], row[best], score[best]
+        some = np.flatnonzero((np.arange(len(at)) - np.searchsorted(at, at) < k) & ~(own[row, :table] == their[at + i, :table]).any(1))
+        out.append(pa.Table.from_arrays([asked.column("query_id").take(pa.array(at[some] + i)), rows.column(key).take(pa.array(row[some])),
+                                         pa.chunked_array([score[some]])], schema=found))
+    return pa.concat_tables(out)
+
+
+def _matrix(table: pa.Table, name: str) -> np.ndarray:
+    lists = table.column(name).combine_chunks()
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
 def bm25_top_k(docs: DataFrame, queries: dict[int, str], key: str, text: str, k: int) -> DataFrame:
     """BM25 top-k per query; only the words of the queries leave the scan."""
     import re

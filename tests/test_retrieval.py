@@ -62,3 +62,28 @@ def test_unreachable_target_falls_back_to_the_exact_search(spark, clustered):
     rows, df = clustered
     asked = df.filter("id < 3").select(F.col("id").alias("query_id"), F.col("v").alias("qvec"))
     assert listed(R.lsh_top_k(df, asked, "id", "v", 4, target=1.1, most_tables=4)) == brute(rows, rows[:3], 4)
+
+
+def test_buckets_cut_into_tiles_and_copies(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(300, 8))
+    v[40:200] = v[3]  # more copies than are asked for, and ties between rows of different tiles
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame([*rows, (300, None), (301, [0.0] * 8)], "id long, v array<double>").repartition(3).persist()
+    asked = df.filter("id % 20 = 0 OR id = 3").select(F.col("id").alias("query_id"), F.col("v").alias("qvec"))
+    monkeypatch.setattr(R, "ROWS_PER_TILE", 50)
+    monkeypatch.setattr(R, "QUERIES_PER_TILE", 4)
+    for target in (0.95, 1.1):  # the last is out of reach, so all are compared
+        got = listed(R.lsh_top_k(df, asked, "id", "v", 6, target=target, most_tables=16))
+        want = listed(R.vector_top_k(df.filter("id < 300"), asked.filter("query_id < 300"), "id", "v", 6))
+        assert set(got) == set(want) and all(len(ids) == 6 for ids in got.values())
+        assert np.mean([len(set(got[q]) & set(want[q])) / 6 for q in want]) >= 0.9
+        assert all(got[i] == [3, 40, 41, 42, 43, 44] for i in (3, 40, 60, 180))
+
+
+def test_tile_needs_no_comparison_by_rows(spark, clustered):
+    """The plan compares in tiles: no row is multiplied by the queries of its bucket."""
+    _, df = clustered
+    asked = df.filter("id % 3 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("qvec"))
+    plan = R.lsh_top_k(df, asked, "id", "v", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
