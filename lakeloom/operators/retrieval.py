@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from lakeloom.functions.text import each_token, tokens
+from lakeloom.functions.text import tokens
 from lakeloom.plans import durable, ordered, skew
 
 K1, B = 1.2, 0.75
@@ -275,17 +276,52 @@ def context_windows(turns: DataFrame, key: str, order: str, role: str, text: str
     return out.filter("__block = __own").select(key, order, role, text, "context")
 
 
+FREQUENT = 1_000_000  # words of more than one in so many of all are known to the tasks; there are at most as many
+
+
 def extractive_summary(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """The ``n`` sentences with the highest mean inverse document frequency, in original order."""
-    parts = docs.select(key, F.posexplode(F.split(text, r"[.!?]\s+")).alias("pos", "sentence"))
-    words = parts.select(key, "pos", each_token(F.col("sentence")).alias("w")).filter("w IS NOT NULL")
     # a document's distinct words are found in its row, so only counts per word are exchanged
     freq = docs.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
     freq = durable.cut(freq, "word-documents")
     idf = F.log(docs.agg(F.count("*")).scalar() / F.col("df"))
-    # words of many documents travel to the sentences, so most words stay where they are; the mean over all words weighs each by its count
-    scored = skew.uneven_join(words, freq, ["w"], "df", apart=True, heads=100_000).groupBy(key, "pos").agg(F.round(F.avg(idf), 6).alias("score"))
-    best = skew.top_per_key(scored, [key], [F.desc("score"), F.asc("pos")], n, "rank")
-    chosen = parts.join(best, [key, "pos"])
+    often = F.col("df") * FREQUENT > freq.agg(F.sum("df")).scalar()
+    shared = docs.sparkSession.sparkContext.broadcast(freq.filter(often).select("w", idf.alias("idf")).toArrow().combine_chunks())
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per sentence the sum over its frequent words and its number of words, and a row for each of its other words."""
+        row = TaskContext.get().partitionId() << 33
+        table = shared.value
+        frequent, values = pa.array(table.column("w").combine_chunks()), np.append(table.column("idf").to_numpy(), 0.0)
+        for batch in batches:
+            lists = batch.column("words")
+            words, size = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            at = np.repeat(np.arange(len(size)), size)
+            code = pc.fill_null(pc.index_in(words, frequent), -1).to_numpy(zero_copy_only=False)
+            total = np.bincount(at, values[code], len(size))
+            other = np.flatnonzero(code < 0)
+            # the sums of a sentence travel with its first other word; without one, with a word that no text has, so that these rows spread too
+            bare = np.setdiff1d(np.arange(len(size)), at[other])
+            line = np.concatenate([at[other], bare])
+            lead = np.concatenate([np.diff(at[other], prepend=-1) > 0, np.ones(len(bare), bool)])
+            w = pa.concat_arrays([words.take(pa.array(other)), pa.array([f" {row + i}" for i in bare.tolist()], pa.string())])
+            out = pa.RecordBatch.from_arrays([
+                batch.column(key).take(pa.array(line)), batch.column("pos").take(pa.array(line)),
+                pa.array(np.where(lead, total[line], 0.0)), pa.array(np.where(lead, size[line], 0).astype(np.int64)), w],
+                [key, "pos", "total", "words", "w"])
+            for i in range(0, out.num_rows, 50_000):
+                yield out.slice(i, 50_000)
+            row += len(size)
+
+    fields = [docs.schema[key], *(StructField(*f) for f in (("pos", IntegerType()), ("total", DoubleType()), ("words", LongType()), ("w", StringType())))]
+    sentences = F.split(text, r"[.!?]\s+")
+    cut = docs.filter(F.col(key).isNotNull()).select(key, F.posexplode(sentences).alias("pos", "sentence"))
+    met = cut.select(key, "pos", tokens(F.col("sentence")).alias("words")).filter(F.size("words") > 0).mapInArrow(
+        known, StructType(fields))
+    scored = met.join(freq.filter(~often), "w", "left").groupBy(key, "pos").agg(
+        F.round((F.sum("total") + F.coalesce(F.sum(idf), F.lit(0.0))) / F.sum("words"), 6).alias("score"))
+    best = skew.top_per_key(scored, [key], [F.desc("score"), F.asc("pos")], n, "rank").groupBy(key).agg(F.collect_list("pos").alias("best"))
+    # whole texts meet the numbers of their sentences: one row of a document is exchanged, not one a sentence
+    chosen = docs.join(best, key).select(key, "best", F.posexplode(sentences).alias("pos", "sentence")).filter(F.array_contains("best", F.col("pos")))
     ordered_list = F.sort_array(F.collect_list(F.struct("pos", "sentence")))
     return chosen.groupBy(key).agg(F.array_join(F.transform(ordered_list, lambda s: s["sentence"]), ". ").alias("summary"))

@@ -1,5 +1,9 @@
 """Vector search: the one-plan exact search over several blocks of queries, and the bucketed one against it."""
 
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +91,29 @@ def test_tile_needs_no_comparison_by_rows(spark, clustered):
     asked = df.filter("id % 3 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("qvec"))
     plan = R.lsh_top_k(df, asked, "id", "v", 5)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan
+
+
+def test_summary_scores_frequent_and_rare_words_in_one_pass(spark, monkeypatch):
+    texts = [(1, "Common words here. Rare zebra words! Common common. ... "), (2, "Common here? Words words. Quartz"), (2, "Common again. Quartz quartz"),
+             (3, "..."), (4, ""), (5, None), (None, "Common lost. Rare"), (6, "Common here. Words here. Common words. Here")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    split = [(i, [s for s in re.split(r"[.!?]\s+", x)]) for i, x in texts if x is not None]
+    words = lambda s: re.findall(r"[^\W_]+", s.lower())
+    df = Counter(w for _, ss in split for w in {w for s in ss for w in words(s)})
+    want = {}
+    for key in {i for i, _ in split if i is not None}:
+        said = [(pos, s) for i, ss in split if i == key for pos, s in enumerate(ss)]
+        scores = {}
+        for pos in {pos for pos, _ in said}:
+            all_words = [w for p, s in said if p == pos for w in words(s)]
+            if all_words:
+                scores[pos] = round(sum(math.log(len(texts) / df[w]) for w in all_words) / len(all_words), 6)
+        best = sorted(scores, key=lambda pos: (-scores[pos], pos))[:2]
+        if best:
+            want[key] = ". ".join(s for _, s in sorted((p, s) for p, s in said if p in best))
+    for frequent in (1, 8, 1_000_000):  # no word, some, all known to the tasks
+        monkeypatch.setattr(R, "FREQUENT", frequent)
+        out = R.extractive_summary(docs, "doc_id", "text", 2)
+        got = out.collect()
+        assert len(got) == len(want) and {r.doc_id: r.summary for r in got} == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
