@@ -69,20 +69,32 @@ class Net:
             at += p.size
         return Net(*out)
 
-    def forward(self, context: np.ndarray) -> np.ndarray:
+    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(embeddings of the context, hidden layer)"""
         x = self.embed[context].reshape(len(context), -1)
-        return np.tanh(x @ self.hidden + self.hidden_bias)
+        return x, np.tanh(x @ self.hidden + self.hidden_bias)
 
     def log_prob(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | the words on both sides), without looking at the target."""
-        h, cls, member = self.forward(context), target // self.side, target % self.side
-        out = _log_softmax(h @ self.classes + self.class_bias)[np.arange(len(h)), cls]
-        order = np.argsort(cls, kind="stable")
-        borders = np.searchsorted(cls[order], np.arange(self.side + 1))
-        for c in range(self.side):
-            rows = order[borders[c]:borders[c + 1]]
-            if len(rows):
-                out[rows] += _log_softmax(h[rows] @ self.members[c] + self.member_bias[c])[np.arange(len(rows)), member[rows]]
+        h, cls, member = self.forward(context)[1], target // self.side, target % self.side
+        order, runs = self._runs(cls)
+        out = np.empty(len(h), np.float32)
+        out[order] = _log_softmax_at(self._within(h[order], cls[order], runs), member[order])
+        return out + _log_softmax_at(h @ self.classes + self.class_bias, cls)
+
+    def _runs(self, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The order of the rows by class, and (class, first, end) of each class there."""
+        n = np.bincount(cls, minlength=self.side)
+        ends = np.cumsum(n)
+        some = np.flatnonzero(n)
+        return np.argsort(cls, kind="stable"), list(zip(some.tolist(), (ends - n)[some].tolist(), ends[some].tolist()))
+
+    def _within(self, h: np.ndarray, cls: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+        """Each row's logits of the members of its class; the rows are sorted by class."""
+        out = np.empty((len(h), self.side), np.float32)
+        for c, a, b in runs:
+            np.matmul(h[a:b], self.members[c], out=out[a:b])
+        out += self.member_bias[cls]
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -91,46 +103,60 @@ class Net:
         What only some rows of the batch reach (the members of a class, the embedding of a word) moves by their sum over the
         geometric mean of their number and the batch's, else rare words would hardly learn in large batches.
         """
-        n, h, cls, member = len(target), self.forward(context), target // self.side, target % self.side
+        n, (x, h), cls, member = len(target), self.forward(context), target // self.side, target % self.side
         top = _softmax(h @ self.classes + self.class_bias)
         top[np.arange(n), cls] -= 1
         back = top @ self.classes.T
         d_classes, d_class_bias = h.T @ top, top.sum(0)
-        order = np.argsort(cls, kind="stable")
-        borders = np.searchsorted(cls[order], np.arange(self.side + 1))
-        for c in range(self.side):
-            rows = order[borders[c]:borders[c + 1]]
-            if not len(rows):
-                continue
-            low = _softmax(h[rows] @ self.members[c] + self.member_bias[c])
-            low[np.arange(len(rows)), member[rows]] -= 1
-            back[rows] += low @ self.members[c].T
-            own = rate / math.sqrt(n * len(rows))
-            self.members[c] -= own * (h[rows].T @ low)
-            self.member_bias[c] -= own * low.sum(0)
+        order, runs = self._runs(cls)
+        sorted_h = np.ones((n, h.shape[1] + 1), np.float32)  # and a 1 for the bias
+        sorted_h[:, :-1] = h[order]
+        low = _softmax(self._within(sorted_h[:, :-1], cls[order], runs))
+        low[np.arange(n), member[order]] -= 1
+        low_back, moved = np.empty_like(h), np.empty((len(runs), h.shape[1] + 1, self.side), np.float32)
+        for k, (c, a, b) in enumerate(runs):
+            np.matmul(low[a:b], self.members[c].T, out=low_back[a:b])
+            np.matmul(sorted_h[a:b].T, low[a:b], out=moved[k])
+        back[order] += low_back
+        some, first, end = np.array(runs).T
+        moved *= (rate / np.sqrt(n * (end - first))).astype(np.float32)[:, None, None]
+        self.members[some] -= moved[:, :-1]
+        self.member_bias[some] -= moved[:, -1]
         back *= 1 - h * h
-        x = self.embed[context].reshape(n, -1)
         d_x = (back @ self.hidden.T).reshape(-1, self.embed.shape[1])
         self.classes -= rate / n * d_classes
         self.class_bias -= rate / n * d_class_bias
         self.hidden -= rate / n * (x.T @ back)
         self.hidden_bias -= rate / n * back.sum(0)
         flat = context.ravel()
-        seen = np.maximum(np.bincount(flat, minlength=len(self.embed)), 1)
-        d_embed = np.stack([np.bincount(flat, d_x[:, j], len(self.embed)) for j in range(d_x.shape[1])], 1)
-        self.embed -= (rate / np.sqrt(n * seen)[:, None] * d_embed).astype(np.float32)
+        times = np.bincount(flat, minlength=len(self.embed))
+        seen = np.flatnonzero(times)
+        place = np.empty(len(self.embed), np.int64)
+        place[seen] = np.arange(len(seen))
+        at = place[flat]
+        d_embed = np.stack([np.bincount(at, d_x[:, j], len(seen)) for j in range(d_x.shape[1])], 1)
+        self.embed[seen] -= (rate / np.sqrt(n * times[seen])[:, None] * d_embed).astype(np.float32)
+
+
+def _bounded(z: np.ndarray) -> np.ndarray:
+    """Logits, their rows shifted in place where single precision would not hold their powers."""
+    if z.size and max(z.max(), -z.min()) > 60:
+        z -= z.max(1, keepdims=True)
+    return z
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+def _total(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    got = _bounded(z)[np.arange(len(z)), at]
+    return got - np.log(_total(np.exp(z, out=z)))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    np.exp(_bounded(z), out=z)
+    z /= _total(z)[:, None]
     return z
 
 
@@ -294,8 +320,8 @@ def pseudo_likelihood(docs: DataFrame, train: DataFrame | None = None, **options
             for a, b in slices(texts, 1_000_000):
                 places = known.codes(texts[a:b])
                 each = places.inside
-                for i in range(0, len(each), 32_768):
-                    each[i:i + 32_768] += model.log_prob(*places.rows(slice(i, i + 32_768)))
+                for i in range(0, len(each), 8192):
+                    each[i:i + 8192] += model.log_prob(*places.rows(slice(i, i + 8192)))
                 sums, ends = np.concatenate([[0.0], np.cumsum(each)]), np.cumsum(places.n)
                 rows = np.arange(row, row + b - a)
                 # the row of a text carries a word that no text has, so that these rows spread too

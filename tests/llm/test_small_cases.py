@@ -322,6 +322,50 @@ def test_every_word_has_its_own_likelihood(spark):
         assert got[1]["log_likelihood"] == got[2]["log_likelihood"]
 
 
+def test_a_step_moves_as_plain_softmax_and_holds_only_the_numbers_it_met():
+    import tracemalloc
+
+    rng, side, n, rate = np.random.default_rng(3), 256, 48, 0.7
+    net = masked_scorer.Net.start(rng.integers(0, 9, side * side).astype(float))
+    net.classes += rng.normal(0, 1, net.classes.shape).astype(np.float32)
+    net.members += rng.normal(0, 1, net.members.shape).astype(np.float32)
+    context, target = rng.integers(0, side * side + 1, (n, 4)), rng.integers(0, 5 * side, n)
+    was, want = net.with_flat(net.flat()), net.with_flat(net.flat())
+    softmax = lambda z: np.exp(z) / np.exp(z).sum()
+    of_class = np.bincount(target // side, minlength=side)
+    of_number = np.bincount(context.ravel(), minlength=side * side + 1)
+    for c, t in zip(context, target):  # one place after the other, from the weights before the step
+        k, x = t // side, was.embed[c].ravel()
+        h = np.tanh(x @ was.hidden + was.hidden_bias)
+        top = softmax(h @ was.classes + was.class_bias) - (np.arange(side) == k)
+        low = softmax(h @ was.members[k] + was.member_bias[k]) - (np.arange(side) == t % side)
+        back = (was.classes @ top + was.members[k] @ low) * (1 - h * h)
+        want.classes -= rate / n * np.outer(h, top)
+        want.class_bias -= rate / n * top
+        want.members[k] -= rate / np.sqrt(n * of_class[k]) * np.outer(h, low)
+        want.member_bias[k] -= rate / np.sqrt(n * of_class[k]) * low
+        want.hidden -= rate / n * np.outer(x, back)
+        want.hidden_bias -= rate / n * back
+        for number, moved in zip(c, (was.hidden @ back).reshape(4, -1)):
+            want.embed[number] -= rate / np.sqrt(n * of_number[number]) * moved
+    tracemalloc.start()
+    net.step(context, target, rate)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.allclose(a, b, atol=2e-5) for a, b in zip(net.parts(), want.parts()))
+    assert peak < net.embed.nbytes  # a step held several tables as large as all embeddings
+
+
+def test_logits_of_any_size_give_finite_scores():
+    net = masked_scorer.Net.start(np.ones(masked_scorer.VOCAB))
+    net.class_bias[:2], net.member_bias[0, :2] = (300, -300), (-200, 200)
+    context = np.zeros((3, 4), np.int64)
+    got = net.log_prob(context, np.array([0, 1, masked_scorer.SIDE]))
+    assert np.isfinite(got).all() and abs(got[0] + 400) < 1 and abs(got[1]) < 0.1 and abs(got[2] + 603) < 5
+    net.step(context, np.array([0, 1, masked_scorer.SIDE]), 1.0)
+    assert np.isfinite(net.flat()).all()
+
+
 def test_network_beats_word_frequencies_on_held_out_texts(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held, rest = texts.filter("doc_id % 5 = 0"), texts.filter("doc_id % 5 <> 0")
