@@ -91,6 +91,22 @@ def test_packing_keeps_every_id(spark, docs, nothing):
     assert rows(vector_packing.pack_documents(nothing, JSON)) == []
 
 
+def test_packed_ids_are_those_of_the_library_and_leave_nothing_behind():
+    import tracemalloc
+
+    lib, tool, rng = Tokenizer.from_file(JSON), vector_packing.Ids(JSON), random.Random(7)
+    letters = "  \n\n\t\r\x0b\x0c\x85\xa0\u1680\u2003\u2028\u3000\x1c\x1f\u200b'sdltrevaB1\u00b2\u00e9\u6f22.!\U0001F600\u0301"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)] + ["\n" * 200_000, " " * 200_000 + "x", "a  " * 999, ""]
+    for text in texts:
+        assert tool.of(text) == np.array(lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:60]
+    text = " ".join(f"{rng.getrandbits(40):x}" for _ in range(30_000))
+    tracemalloc.start()
+    tool.of(text)
+    left = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert left < 200_000  # each distinct word was kept, with its ids: 2 MB here
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     length = -np.sort(-np.random.default_rng(0).integers(1, 200, 900))
