@@ -7,9 +7,10 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from lakeloom.plans import durable
 SIDE = 32  # classes, and members of each class, at least
 VOCAB = SIDE * SIDE
 WINDOW = 2
+BLOCK = 2048  # places scored at a time
 KNOWN = 131_072  # frequent words whose counts travel to the tasks; all others meet theirs in a join
 
 
@@ -39,6 +41,15 @@ class Net:
     members: np.ndarray
     member_bias: np.ndarray
 
+    def __post_init__(self):
+        # the biases stand under the weights, so that one product adds them; the fields are views
+        self.top = np.concatenate([self.classes, self.class_bias[None]])
+        self.low = np.concatenate([self.members, self.member_bias[:, None]], 1)
+        self.classes, self.class_bias, self.members, self.member_bias = self.top[:-1], self.top[-1], self.low[:, :-1], self.low[:, -1]
+
+    def __reduce__(self):
+        return Net, tuple(self.parts())
+
     NAMES = ("embed", "hidden", "hidden_bias", "classes", "class_bias", "members", "member_bias")
 
     @staticmethod
@@ -70,72 +81,91 @@ class Net:
         return Net(*out)
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(embeddings of the context, hidden layer)"""
-        x = self.embed[context].reshape(len(context), -1)
-        return x, np.tanh(x @ self.hidden + self.hidden_bias)
+        """(embeddings of the context, hidden layer with a last column of ones for the biases)"""
+        x = self.embed.take(context.ravel(), axis=0).reshape(len(context), -1)
+        h = np.ones((len(x), self.hidden.shape[1] + 1), np.float32)
+        z = x @ self.hidden
+        z += self.hidden_bias
+        np.tanh(z, out=h[:, :-1])
+        return x, h
 
     def log_prob(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | the words on both sides), without looking at the target."""
-        h, cls, member = self.forward(context)[1], target // self.side, target % self.side
-        order, runs = self._runs(cls)
-        out = np.empty(len(h), np.float32)
-        out[order] = _log_softmax_at(self._within(h[order], cls[order], runs), member[order])
-        return out + _log_softmax_at(h @ self.classes + self.class_bias, cls)
-
-    def _runs(self, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        """The order of the rows by class, and (class, first, end) of each class there."""
-        n = np.bincount(cls, minlength=self.side)
-        ends = np.cumsum(n)
-        some = np.flatnonzero(n)
-        return np.argsort(cls, kind="stable"), list(zip(some.tolist(), (ends - n)[some].tolist(), ends[some].tolist()))
-
-    def _within(self, h: np.ndarray, cls: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+        order = self._by_class(target)
+        context, target = context[order], target[order]
+        got = np.empty(len(target), np.float32)
+        for i in range(0, len(target), BLOCK):  # few rows at a time, so that their logits stay in the processor's cache
+            cls, member = np.divmod(target[i:i + BLOCK], self.side)
+            h = self.forward(context[i:i + BLOCK])[1]
+            got[i:i + BLOCK] = _log_softmax_at(self._within(h, self._runs(cls)), member)
+            got[i:i + BLOCK] += _log_softmax_at(h @ self.top, cls)
+        out = np.empty_like(got)
+        out[order] = got
+        return out
+
+    def _by_class(self, target: np.ndarray) -> np.ndarray:
+        """The order of the rows by class; numbers of 16 bits are sorted by their digits."""
+        cls = target // self.side
+        return np.argsort(cls.astype(np.int16) if self.side < 2**15 else cls, kind="stable")
+
+    @staticmethod
+    def _runs(cls: np.ndarray) -> list[tuple[int, int, int]]:
+        """(class, first, end) of each class among sorted rows."""
+        first = np.flatnonzero(np.diff(cls, prepend=-1))
+        return list(zip(cls[first].tolist(), first.tolist(), [*first[1:].tolist(), len(cls)]))
+
+    def _within(self, h: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
         """Each row's logits of the members of its class; the rows are sorted by class."""
         out = np.empty((len(h), self.side), np.float32)
         for c, a, b in runs:
-            np.matmul(h[a:b], self.members[c], out=out[a:b])
-        out += self.member_bias[cls]
+            np.dot(h[a:b], self.low[c], out=out[a:b])
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step of gradient descent on the mean of -log P.
 
         What only some rows of the batch reach (the members of a class, the embedding of a word) moves by their sum over the
-        geometric mean of their number and the batch's, else rare words would hardly learn in large batches.
+        geometric mean of their number and the batch's, else rare words would hardly learn in large batches. The rows are taken by
+        class, and the totals of the softmaxes divide the short rows of hidden numbers, not the long ones of logits.
         """
-        n, (x, h), cls, member = len(target), self.forward(context), target // self.side, target % self.side
-        top = _softmax(h @ self.classes + self.class_bias)
-        top[np.arange(n), cls] -= 1
+        n, order = len(target), self._by_class(target)
+        context, target = context[order], target[order]
+        cls, member = np.divmod(target, self.side)
+        runs, rows, (x, h) = self._runs(cls), np.arange(n), self.forward(context)
+        top = h @ self.top
+        total = _powers(top)
+        top[rows, cls] -= total
         back = top @ self.classes.T
-        d_classes, d_class_bias = h.T @ top, top.sum(0)
-        order, runs = self._runs(cls)
-        sorted_h = np.ones((n, h.shape[1] + 1), np.float32)  # and a 1 for the bias
-        sorted_h[:, :-1] = h[order]
-        low = _softmax(self._within(sorted_h[:, :-1], cls[order], runs))
-        low[np.arange(n), member[order]] -= 1
-        low_back, moved = np.empty_like(h), np.empty((len(runs), h.shape[1] + 1, self.side), np.float32)
-        for k, (c, a, b) in enumerate(runs):
-            np.matmul(low[a:b], self.members[c].T, out=low_back[a:b])
-            np.matmul(sorted_h[a:b].T, low[a:b], out=moved[k])
-        back[order] += low_back
-        some, first, end = np.array(runs).T
-        moved *= (rate / np.sqrt(n * (end - first))).astype(np.float32)[:, None, None]
-        self.members[some] -= moved[:, :-1]
-        self.member_bias[some] -= moved[:, -1]
-        back *= 1 - h * h
-        d_x = (back @ self.hidden.T).reshape(-1, self.embed.shape[1])
-        self.classes -= rate / n * d_classes
-        self.class_bias -= rate / n * d_class_bias
+        back /= total[:, None]
+        scaled = h * (rate / n / total).astype(np.float32)[:, None]
+        d_top = sum(scaled[i:i + 256].T @ top[i:i + 256] for i in range(0, n, 256))  # so many rows at once take the least time
+        low = self._within(h, runs)
+        total = _powers(low)
+        low[rows, member] -= total
+        share = 1 / np.sqrt(n * np.bincount(cls, minlength=self.side)[cls])
+        scaled = h * (rate * share / total).astype(np.float32)[:, None]
+        low_back, moved = np.empty_like(back), np.empty((len(runs), *self.low.shape[1:]), np.float32)
+        for (c, a, b), out in zip(runs, moved):
+            part = low[a:b]
+            np.dot(part, self.members[c].T, out=low_back[a:b])
+            np.dot(scaled[a:b].T, part, out=out)
+        self.low[[c for c, _, _ in runs]] -= moved
+        self.top -= d_top
+        low_back /= total[:, None]
+        back += low_back
+        back *= 1 - h[:, :-1] ** 2
+        d_x = np.ascontiguousarray((back @ self.hidden.T).reshape(-1, self.embed.shape[1]).T)
         self.hidden -= rate / n * (x.T @ back)
-        self.hidden_bias -= rate / n * back.sum(0)
+        self.hidden_bias -= rate / n * (np.ones(n, np.float32) @ back)
         flat = context.ravel()
         times = np.bincount(flat, minlength=len(self.embed))
         seen = np.flatnonzero(times)
         place = np.empty(len(self.embed), np.int64)
         place[seen] = np.arange(len(seen))
         at = place[flat]
-        d_embed = np.stack([np.bincount(at, d_x[:, j], len(seen)) for j in range(d_x.shape[1])], 1)
-        self.embed[seen] -= (rate / np.sqrt(n * times[seen])[:, None] * d_embed).astype(np.float32)
+        d_embed = np.stack([np.bincount(at, d, len(seen)) for d in d_x], 1)
+        d_embed *= (rate / np.sqrt(n * times[seen]))[:, None]
+        self.embed[seen] = self.embed.take(seen, axis=0) - d_embed
 
 
 def _bounded(z: np.ndarray) -> np.ndarray:
@@ -145,19 +175,15 @@ def _bounded(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def _total(z: np.ndarray) -> np.ndarray:
+def _powers(z: np.ndarray) -> np.ndarray:
+    """The rows' totals of the powers of logits, which replace these."""
+    np.exp(_bounded(z), out=z)
     return z @ np.ones(z.shape[1], z.dtype)
 
 
 def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
     got = _bounded(z)[np.arange(len(z)), at]
-    return got - np.log(_total(np.exp(z, out=z)))
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    np.exp(_bounded(z), out=z)
-    z /= _total(z)[:, None]
-    return z
+    return got - np.log(_powers(z))
 
 
 def side_for(n_words: int) -> int:
@@ -196,7 +222,7 @@ class Vocabulary:
     def codes(self, texts: list[str]) -> Places:
         split = [text.split() for text in texts]
         n = np.array([len(w) for w in split], np.int64)
-        flat = [w for words in split for w in words]
+        flat = list(chain.from_iterable(split))
         row = np.fromiter(map(self.row.get, flat, repeat(-1)), np.int32, len(flat))
         other = np.flatnonzero(row < 0)
         code = np.append(self.code, np.int32(0))[row]
@@ -261,6 +287,12 @@ def _counted(held: Counter[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
 
+def _mean(rows: pd.DataFrame) -> pd.DataFrame:
+    """The mean of one part of the weights over the tasks, which give it times their number of words."""
+    total = np.sum([np.frombuffer(w) for w in rows["weights"]], axis=0)
+    return pd.DataFrame({"part": rows["part"].iloc[:1], "weights": [(total / rows["used"].sum()).tobytes()]})
+
+
 def fit(docs: DataFrame, rounds: int = 1, batch: int = 2048, rate: float = 1.0) -> tuple[Vocabulary, DataFrame, Net]:
     """The vocabulary, the count table and a net that all documents have trained.
 
@@ -286,18 +318,16 @@ def fit(docs: DataFrame, rounds: int = 1, batch: int = 2048, rate: float = 1.0)
                         own.step(*places.rows(order[i:i + batch]), rate)
                     used += len(order)
             if used:
-                values = own.flat().astype(np.float64)
-                for k in range(0, len(values), 4096):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.arange(k, k + len(values[k:k + 4096])), pa.int32()), pa.array(values[k:k + 4096] * used),
-                        pa.array(np.full(len(values[k:k + 4096]), float(used)))], ["i", "value", "used"])
-
-        sums = docs.mapInArrow(learn, "i int, value double, used double").groupBy("i").agg(
-            (F.sum("value") / F.sum("used")).alias("value")).toPandas()
-        if len(sums):
-            flat = np.zeros(len(net.flat()))
-            flat[sums["i"]] = sums["value"]
-            net = net.with_flat(flat)
+                values = own.flat().astype(np.float64) * used
+                parts = [values[k:k + 1024].tobytes() for k in range(0, len(values), 1024)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.arange(len(parts)), pa.int32()), pa.array(parts, pa.binary()), pa.array(np.full(len(parts), float(used)))],
+                    ["part", "weights", "used"])
+
+        means = docs.mapInArrow(learn, "part int, weights binary, used double").groupBy("part").applyInPandas(
+            _mean, "part int, weights binary").toPandas()
+        if len(means):
+            net = net.with_flat(np.concatenate([np.frombuffer(w) for w in means.sort_values("part")["weights"]]))
     return vocab, counted, net
 
 
@@ -320,8 +350,8 @@ def pseudo_likelihood(docs: DataFrame, train: DataFrame | None = None, **options
             for a, b in slices(texts, 1_000_000):
                 places = known.codes(texts[a:b])
                 each = places.inside
-                for i in range(0, len(each), 8192):
-                    each[i:i + 8192] += model.log_prob(*places.rows(slice(i, i + 8192)))
+                for i in range(0, len(each), 65_536):
+                    each[i:i + 65_536] += model.log_prob(*places.rows(slice(i, i + 65_536)))
                 sums, ends = np.concatenate([[0.0], np.cumsum(each)]), np.cumsum(places.n)
                 rows = np.arange(row, row + b - a)
                 # the row of a text carries a word that no text has, so that these rows spread too
