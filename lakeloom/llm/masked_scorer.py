@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import slices, small_batches, text_or_empty
+from lakeloom.llm.base import byte_batches, slices, small_batches, text_or_empty
 from lakeloom.plans import durable
 
 SIDE = 32  # classes, and members of each class, at least
@@ -163,9 +163,11 @@ class Net:
         place = np.empty(len(self.embed), np.int64)
         place[seen] = np.arange(len(seen))
         at = place[flat]
-        d_embed = np.stack([np.bincount(at, d, len(seen)) for d in d_x], 1)
-        d_embed *= (rate / np.sqrt(n * times[seen]))[:, None]
-        self.embed[seen] = self.embed.take(seen, axis=0) - d_embed
+        d_embed = np.zeros((len(d_x), len(seen)), np.float32)
+        for out, d in zip(d_embed, d_x):
+            np.add.at(out, at, d)
+        d_embed *= (rate / np.sqrt(n * times[seen])).astype(np.float32)
+        self.embed[seen] = self.embed.take(seen, axis=0) - d_embed.T
 
 
 def _bounded(z: np.ndarray) -> np.ndarray:
@@ -229,11 +231,7 @@ class Vocabulary:
         code[other] = [self.place(flat[i]) for i in other]
         inside = np.append(self.inside, 0.0)[row]
         inside[other] = self.unseen(code[other])
-        text = np.repeat(np.arange(len(texts)), n)
-        at = np.arange(len(flat)) + WINDOW * (1 + text)
-        laid = np.full(len(flat) + WINDOW * (1 + len(texts)), len(self.counts), np.int32)
-        laid[at] = code
-        return Places(laid, at, n, inside, text[other], [flat[i] for i in other])
+        return Places.of(code, n, len(self.counts), inside, np.repeat(np.arange(len(texts)), n)[other], [flat[i] for i in other])
 
 
 @dataclass
@@ -244,9 +242,16 @@ class Places:
     laid: np.ndarray
     at: np.ndarray
     n: np.ndarray
-    inside: np.ndarray
-    text: np.ndarray
-    other: list[str]
+    inside: np.ndarray | None = None
+    text: np.ndarray | None = None
+    other: list[str] | None = None
+
+    @staticmethod
+    def of(code: np.ndarray, n: np.ndarray, pad: int, *words) -> Places:
+        at = np.arange(len(code)) + WINDOW * (1 + np.repeat(np.arange(len(n)), n))
+        laid = np.full(len(code) + WINDOW * (1 + len(n)), pad, np.int32)
+        laid[at] = code
+        return Places(laid, at, n, *words)
 
     def rows(self, some: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
         """(contexts, targets)"""
@@ -293,26 +298,70 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": rows["part"].iloc[:1], "weights": [(total / rows["used"].sum()).tobytes()]})
 
 
-def fit(docs: DataFrame, rounds: int = 1, batch: int = 2048, rate: float = 1.0) -> tuple[Vocabulary, DataFrame, Net]:
-    """The vocabulary, the count table and a net that all documents have trained.
+def _coded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """row, doc_id, part, codes, inside, other of ``docs`` (doc_id, text), written once for all later passes.
+
+    ``row`` is unique, a ``part`` are texts of about a million characters that follow each other, ``codes`` the numbers of the words (4 bytes each),
+    ``inside`` the sum of log P(word | number) without what the whole count table adds, ``other`` the words that are to meet that table.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, row, part = shared.value, TaskContext.get().partitionId() << 33, TaskContext.get().partitionId() << 33
+        for batch in small_batches(batches):
+            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
+            for a, b in slices(texts, 1_000_000):
+                places, rows = known.codes(texts[a:b]), np.arange(row, row + b - a)
+                code, ends = places.laid[places.at].astype("<i4", copy=False), np.cumsum(places.n)
+                sums = np.concatenate([[0.0], np.cumsum(places.inside)])
+                others = np.concatenate([[0], np.cumsum(np.bincount(places.text, minlength=b - a))])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rows), ids.slice(a, b - a), pa.array(np.full(b - a, part)),
+                    pa.array([code[end - n:end].tobytes() for n, end in zip(places.n, ends)], pa.binary()), pa.array(sums[ends] - sums[ends - places.n]),
+                    pa.ListArray.from_arrays(pa.array(others, pa.int32()), pa.array(places.other, pa.string()))],
+                    ["row", "doc_id", "part", "codes", "inside", "other"])
+                row, part = row + b - a, part + 1
+
+    return durable.cut(docs.mapInArrow(run, "row long, doc_id long, part long, codes binary, inside double, other array<string>"), "coded")
+
+
+def _parts(batch: pa.RecordBatch, pad: int) -> Iterator[tuple[int, int, Places]]:
+    """(first row, end, places) of each part in a batch of ``codes`` and ``part``."""
+    part, column = batch.column("part").to_numpy(), batch.column("codes")
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(part) + 1] // 4
+    code = np.frombuffer(column.buffers()[2] or b"", "<i4")
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(part)]):
+        yield a, b, Places.of(code[ends[a]:ends[b]], np.diff(ends[a:b + 1]).astype(np.int64), pad)
+
+
+def fit(docs: DataFrame, **options) -> tuple[Vocabulary, DataFrame, Net]:
+    """The vocabulary, the count table and a net that all documents (doc_id, text) have trained."""
+    docs = _texts(docs)
+    vocab, counted = vocabulary(docs)
+    return vocab, counted, _trained(_coded(docs, vocab), vocab, **options)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
+
+
+def _trained(coded: DataFrame, vocab: Vocabulary, rounds: int = 1, batch: int = 2048, rate: float = 1.0) -> Net:
+    """A net that all ``coded`` documents have trained.
 
     Each task takes the net of the round, goes over its own documents in steps of gradient descent, and gives its weights; the next net is their
     mean, weighted by the words each task learned from and summed by Spark. Every place of every text is learned from, once a round;
     without a round the net is the unigram model.
     """
-    docs = docs.select(text_or_empty().alias("text"))
-    vocab, counted = vocabulary(docs)
-    net = Net.start(vocab.counts)
+    net, pad = Net.start(vocab.counts), len(vocab.counts)
     for _ in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
+        shared = coded.sparkSession.sparkContext.broadcast(net)
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, start = shared.value
-            own, used = start.with_flat(start.flat()), 0
-            for part in small_batches(batches):
-                texts = part.column("text").to_pylist()
-                for a, b in slices(texts, 1_000_000):
-                    places = known.codes(texts[a:b])
+            start, used = shared.value, 0
+            own = start.with_flat(start.flat())
+            for some in byte_batches(batches, "codes"):
+                for _, _, places in _parts(some, pad):
                     order = np.random.default_rng(len(places.at)).permutation(len(places.at))
                     for i in range(0, len(order), batch):
                         own.step(*places.rows(order[i:i + batch]), rate)
@@ -324,11 +373,11 @@ def fit(docs: DataFrame, rounds: int = 1, batch: int = 2048, rate: float = 1.0)
                     pa.array(np.arange(len(parts)), pa.int32()), pa.array(parts, pa.binary()), pa.array(np.full(len(parts), float(used)))],
                     ["part", "weights", "used"])
 
-        means = docs.mapInArrow(learn, "part int, weights binary, used double").groupBy("part").applyInPandas(
+        means = coded.select("part", "codes").mapInArrow(learn, "part int, weights binary, used double").groupBy("part").applyInPandas(
             _mean, "part int, weights binary").toPandas()
         if len(means):
             net = net.with_flat(np.concatenate([np.frombuffer(w) for w in means.sort_values("part")["weights"]]))
-    return vocab, counted, net
+    return net
 
 
 def pseudo_likelihood(docs: DataFrame, train: DataFrame | None = None, **options) -> DataFrame:
@@ -339,38 +388,32 @@ def pseudo_likelihood(docs: DataFrame, train: DataFrame | None = None, **options
     join. A word that the learned documents lack has the mass 1 / (total of its number + 1). Null and empty texts have no word, a sum of
     0 and a null mean. Every row gives one row, whether doc_id is null or repeated; an empty table gives an empty result. Other columns are not read.
     """
-    vocab, counted, net = fit(docs if train is None else train, **options)
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
+    vocab, counted = vocabulary(learned := _texts(docs if train is None else train))
+    coded = _coded(learned, vocab)
+    net, pad = _trained(coded, vocab, **options), len(vocab.counts)
+    if train is not None:
+        coded = _coded(_texts(docs), vocab)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = shared.value
-        row = TaskContext.get().partitionId() << 33
-        for batch in small_batches(batches):
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
-            for a, b in slices(texts, 1_000_000):
-                places = known.codes(texts[a:b])
-                each = places.inside
-                for i in range(0, len(each), 65_536):
-                    each[i:i + 65_536] += model.log_prob(*places.rows(slice(i, i + 65_536)))
-                sums, ends = np.concatenate([[0.0], np.cumsum(each)]), np.cumsum(places.n)
-                rows = np.arange(row, row + b - a)
-                # the row of a text carries a word that no text has, so that these rows spread too
+        model = shared.value
+        for batch in byte_batches(batches, "codes"):
+            for a, b, places in _parts(batch, pad):
+                each = np.concatenate([[0.0], *(model.log_prob(*places.rows(slice(i, i + 65_536))) for i in range(0, len(places.at), 65_536))])
+                sums, ends = np.cumsum(each), np.cumsum(places.n)
+                some = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(rows), ids.slice(a, b - a), pa.array(places.n), pa.array(sums[ends] - sums[ends - places.n]),
-                    pa.array([f" {r}" for r in rows])], FIELDS)
-                for i in range(0, len(places.other), 32_768):
-                    some = places.other[i:i + 32_768]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(rows[places.text[i:i + 32_768]]), *[pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.float64())],
-                        pa.array(some, pa.string())], FIELDS)
-                row += b - a
-
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    scored = texts.mapInArrow(run, "row long, doc_id long, n_words long, value double, word string")
+                    some.column("row"), some.column("doc_id"), pa.array(places.n), pa.array(
+                        some.column("inside").to_numpy() + sums[ends] - sums[ends - places.n])], FIELDS)
+
+    own = coded.select("row", "doc_id", "part", "codes", "inside").mapInArrow(run, "row long, doc_id long, n_words long, value double")
+    # the row of a text carries a word that no text has, so that these rows spread too
+    scored = own.withColumn("word", F.concat(F.lit(" "), "row")).unionByName(
+        coded.select("row", F.explode("other").alias("word")), allowMissingColumns=True)
     joined = scored.join(counted.filter("n > 1"), "word", "left").groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
         (F.sum("value") + F.coalesce(F.sum(F.log("n")), F.lit(0.0))).alias("log_likelihood"))
     return joined.select("doc_id", "n_words", "log_likelihood", F.try_divide("log_likelihood", F.nullif("n_words", F.lit(0))).alias("per_word"))
 
 
-FIELDS = ["row", "doc_id", "n_words", "value", "word"]
+FIELDS = ["row", "doc_id", "n_words", "value"]

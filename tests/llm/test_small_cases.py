@@ -401,6 +401,22 @@ def test_every_text_is_learned_from(spark):
         assert net.log_prob(*code).mean() > start.log_prob(*code).mean()
 
 
+def test_scoring_reads_no_text_again_and_equals_a_recomputation(spark, docs, tmp_path):
+    docs.select("doc_id", "text").coalesce(1).write.parquet(str(tmp_path / "texts"))
+    stored = spark.read.parquet(str(tmp_path / "texts"))
+    scored = masked_scorer.pseudo_likelihood(stored)
+    assert scored.inputFiles() and not any(str(tmp_path) in name for name in scored.inputFiles())  # texts were split again to be scored
+    vocab, counted, net = masked_scorer.fit(stored)
+    n, want = {r["word"]: r["n"] for r in counted.collect()}, []
+    for row in stored.collect():
+        places = vocab.codes([row["text"] or ""])
+        value = places.inside.sum() + net.log_prob(*places.rows(slice(None))).sum(dtype=float) + sum(np.log(n.get(w, 1)) for w in places.other)
+        want.append((row["doc_id"] or 0, len((row["text"] or "").split()), value))
+    got = [(r["doc_id"] or 0, r["n_words"], r["log_likelihood"]) for r in scored.collect()]
+    assert [r[:2] for r in sorted(got)] == [r[:2] for r in sorted(want)]
+    assert np.allclose([r[2] for r in sorted(got)], [r[2] for r in sorted(want)], rtol=1e-4)
+
+
 def test_a_pair_at_any_threshold_is_missed_as_rarely_as_promised():
     from math import comb
 
